@@ -60,7 +60,7 @@ class ChunkEncoder(dict):
         ranks = {bytes(to_byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in named}
         chunks = tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.short = chunks.encode_ordinary
-        self.letters = chunks.encode_single_piece
+        self.letters = chunks._core_bpe.encode_single_piece
         self.marks = {m: array.array("I", chunks.encode_ordinary(m)).tobytes() for m in ".,;:!?"}
         self.odd = re.compile(r"\s \s").search
         self.max_entries = max_entries
