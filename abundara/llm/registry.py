@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from abundara.llm.common import table
 
@@ -19,8 +20,15 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abundara.llm.simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def queries() -> dict:
-    return {"op1_packing": op1_packing}
+    return {"op1_packing": op1_packing, "op5_simhash": op5_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
