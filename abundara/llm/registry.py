@@ -27,8 +27,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abundara.llm.substrings import repeated_windows
+
+    return repeated_windows(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def queries() -> dict:
-    return {"op1_packing": op1_packing, "op5_simhash": op5_simhash}
+    return {"op1_packing": op1_packing, "op5_simhash": op5_simhash, "op10_substrings": op10_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
