@@ -20,6 +20,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abundara.llm.lines import clean_lines
+
+    return clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abundara.llm.simhash import near_duplicates
 
@@ -27,6 +33,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abundara.llm.secrets import secret_spans
+
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abundara.llm.substrings import repeated_windows
 
@@ -34,8 +46,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_packing": op1_packing, "op5_simhash": op5_simhash, "op10_substrings": op10_substrings}
+    return {"op1_packing": op1_packing, "op2_line_cleaning": op2_line_cleaning, "op5_simhash": op5_simhash, "op9_secrets": op9_secrets, "op10_substrings": op10_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from abundara.llm import lines, secrets
+
+    return {"op2_line_cleaning": lines.ORACLE, "op9_secrets": secrets.ORACLE}
