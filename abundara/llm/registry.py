@@ -26,6 +26,12 @@ def op2_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abundara.llm.mixing import draws
+
+    return draws(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abundara.llm.simhash import near_duplicates
 
@@ -46,10 +52,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_packing": op1_packing, "op2_line_cleaning": op2_line_cleaning, "op5_simhash": op5_simhash, "op9_secrets": op9_secrets, "op10_substrings": op10_substrings}
+    return {"op1_packing": op1_packing, "op2_line_cleaning": op2_line_cleaning, "op4_mixing": op4_mixing, "op5_simhash": op5_simhash, "op9_secrets": op9_secrets, "op10_substrings": op10_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
-    from abundara.llm import lines, secrets
+    from abundara.llm import lines, mixing, secrets
 
-    return {"op2_line_cleaning": lines.ORACLE, "op9_secrets": secrets.ORACLE}
+    return {"op2_line_cleaning": lines.ORACLE, "op4_mixing": mixing.ORACLE, "op9_secrets": secrets.ORACLE}
