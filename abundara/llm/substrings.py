@@ -8,10 +8,11 @@ substrings get equal symbols except near their ends.
 
 For each symbol the parse also keeps its support, the stretch of words that decides it.
 A window's anchor is its symbol of the highest level whose support lies inside the window
-(the least name of these), or the window's own digest if there is none.  The anchor is a
-function of the window's words alone, so equal windows have equal anchors: looking only at
-anchors that two texts share loses nothing.  Windows at shared anchors are then compared
-by 128-bit digests of their words.
+(the least name of these), taken together with the words that follow or precede it in the
+window up to ``context`` words, or the window's own digest if there is no such symbol.  The
+anchor is a function of the window's words alone, so equal windows have equal anchors:
+looking only at anchors that two texts share loses nothing.  Windows at shared anchors are
+then compared by 128-bit digests of their words.
 
 Anchors, windows and texts are joined by key; first occurrences are grouped minima
 combined before the shuffle, and a hot anchor's or window's rows are split by adaptive
@@ -25,6 +26,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def word_names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def parse(words: np.ndarray, starts: np.ndarray, rounds: int):
-    """(name, lo, hi) of each level's symbols, lowest first; a support reaching past its text lies in no window."""
+    """(name, lo, hi, start) of each level's symbols, lowest first; a support reaching past its text lies in no window."""
     n = len(words)
     first = np.zeros(n, bool)
     first[starts[:-1][starts[:-1] < n]] = True
@@ -61,7 +63,7 @@ def parse(words: np.ndarray, starts: np.ndarray, rounds: int):
     e = np.append(s[1:], n)
     name = _mix(words[s] + (e - s).astype(np.uint64) * _MIX)
     lo, hi, head = s - 1, e + 1, first[s]
-    levels = [(name, lo, hi)]
+    levels = [(name, lo, hi, s)]
     for level in range(1, rounds + 1):
         left = (_mix(name + np.uint64(level) * _ADD) & np.uint64(1)).astype(bool)
         joins = np.zeros(len(name), bool)
@@ -79,8 +81,8 @@ def parse(words: np.ndarray, starts: np.ndarray, rounds: int):
         name = name.copy()
         name[j] = _mix(_mix(name[j] * _MIX + np.uint64(level)) + name[j + 1])
         keep = ~second
-        name, lo, hi, head = name[keep], nlo[keep], nhi[keep], head[keep]
-        levels.append((name, lo, hi))
+        name, lo, hi, head, s = name[keep], nlo[keep], nhi[keep], head[keep], s[keep]
+        levels.append((name, lo, hi, s))
     return levels
 
 
@@ -100,14 +102,14 @@ def window_digest(words: np.ndarray, at: np.ndarray, window: int, salt: int) ->
     return total
 
 
-def anchors(words: np.ndarray, starts: np.ndarray, window: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+def anchors(words: np.ndarray, starts: np.ndarray, window: int, rounds: int, context: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions that start a window, and each window's anchor."""
     n = len(words)
     at = np.flatnonzero(window_starts(starts, window))
-    best = np.zeros(len(at), np.uint64)
+    place = np.zeros(len(at), np.int64)
     open_ = np.arange(len(at))
     levels = parse(words, starts, rounds) if len(at) else []
-    for level, (name, lo, hi) in reversed(list(enumerate(levels))):
+    for level, (name, lo, hi, start) in reversed(list(enumerate(levels))):
         if not len(open_):
             break
         before = np.cumsum(np.bincount(lo + 1, minlength=n + 2))
@@ -117,15 +119,21 @@ def anchors(words: np.ndarray, starts: np.ndarray, window: int, rounds: int) ->
         some = first <= last
         rank = _mix(name + np.uint64(level + 1) * _MUL)
         got, first, last = open_[some], first[some], last[some]
-        least = rank[first]
+        least, where = rank[first], start[first]
         k = 1
         more = np.flatnonzero(first + k <= last)
         while len(more):
-            least[more] = np.minimum(least[more], rank[first[more] + k])
+            other = rank[first[more] + k]
+            better = more[other < least[more]]
+            least[more] = np.minimum(least[more], other)
+            where[better] = start[first[better] + k]
             k += 1
             more = more[first[more] + k <= last[more]]
-        best[got] = least
+        place[got] = where
         open_ = open_[~some]
+    begin = np.where(place + context <= at + window, place, place - context + 1)
+    begin[open_] = at[open_]
+    best = window_digest(words, begin, context, 3)
     if len(open_):
         best[open_] = window_digest(words, at[open_], window, 7)
     return at, best
@@ -145,7 +153,7 @@ def _stretches(batches, width: int):
         yield held
 
 
-def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13, rounds: int = 3) -> DataFrame:
+def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13, rounds: int = 2, context: int = 7) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256 and removed.
 
     ``removed`` holds the starts (in words, from 0) of windows whose words also start in a
@@ -154,91 +162,113 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     null id keep everything and remove nothing elsewhere; repeated rows share an id and so
     do not remove each other; other columns are ignored; an empty table gives an empty result.
     """
+    if not 1 <= context <= (window + 1) // 2:
+        raise ValueError("context must be at most half a window, rounded up")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
     source = source.select("doc_id", F.xxhash64("text").alias("row"), "text")
 
     def scan(batches):
+        serial = TaskContext.get().partitionId() << 40
         for rows in _stretches(batches, 2):
             names, starts = word_names([r[2] for r in rows])
-            at, best = anchors(names, starts, window, rounds)
+            at, best = anchors(names, starts, window, rounds, context)
             cuts = np.searchsorted(at, starts)
             out = [np.unique(best[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            whole = [hashlib.sha256(b" ".join(r[2].split())).hexdigest() for r in rows]
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(np.arange(serial, serial + len(rows))),
                     pa.array([r[0] for r in rows], pa.int64()),
                     pa.array([r[1] for r in rows], pa.int64()),
                     pa.array(np.diff(starts)),
-                    pa.array(whole),
+                    pa.array([hashlib.sha256(b" ".join(r[2].split())).hexdigest() for r in rows]),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out))),
                 ],
-                ["doc_id", "row", "n_words", "whole", "anchors"],
+                ["rid", "doc_id", "row", "n_words", "whole", "anchors"],
             )
-
-    scanned = cut(source.mapInArrow(scan, "doc_id long, row long, n_words long, whole string, anchors array<long>"))
-    earliest = scanned.groupBy("whole").agg(F.min("doc_id").alias("first_id"))
-    marked = scanned.select("doc_id", "row", "n_words", "whole").join(earliest, "whole")
-    marked = cut(marked.select("doc_id", "row", "n_words", "whole", (F.col("doc_id") > F.col("first_id")).alias("copy")))
-    single = scanned.join(marked.where("copy").select("doc_id", "row").distinct(), ["doc_id", "row"], "left_anti")
-    placed = single.where("doc_id is not null").select("doc_id", "row", F.explode("anchors").alias("anchor"))
-    shared = placed.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
-    wanted = cut(placed.join(shared, "anchor").groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("wanted")))
+            serial += len(rows)
 
     def compare(batches):
         for rows in _stretches(batches, 3):
             names, starts = word_names([r[3] for r in rows])
-            at, best = anchors(names, starts, window, rounds)
+            at, best = anchors(names, starts, window, rounds, context)
             cuts = np.searchsorted(at, starts)
             hits = []
-            for (a, b), r in zip(zip(cuts[:-1], cuts[1:], strict=True), rows, strict=True):
+            for a, b, r in zip(cuts[:-1], cuts[1:], rows, strict=True):
                 hits.append(a + np.flatnonzero(np.isin(best[a:b].view(np.int64), np.array(r[2], np.int64))))
             count = [len(h) for h in hits]
             pos = at[np.concatenate(hits)]
-            place = pos - np.repeat(starts[:-1], count)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(np.array([r[0] for r in rows], np.int64), count)),
                     pa.array(np.repeat(np.array([r[1] for r in rows], np.int64), count)),
-                    pa.array(place),
+                    pa.array(pos - np.repeat(starts[:-1], count)),
                     pa.array(window_digest(names, pos, window, 1).view(np.int64)),
                     pa.array(window_digest(names, pos, window, 2).view(np.int64)),
                 ],
-                ["doc_id", "row", "at", "h1", "h2"],
+                ["rid", "doc_id", "at", "h1", "h2"],
             )
 
-    texts = wanted.join(source, ["doc_id", "row"]).select("doc_id", "row", "wanted", "text")
-    windows = cut(texts.mapInArrow(compare, "doc_id long, row long, at long, h1 long, h2 long"))
-    least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
-    repeats = windows.join(least, ["h1", "h2"]).where("doc_id > lo").select("doc_id", "row", "at")
-    removed = cut(repeats.groupBy("doc_id", "row").agg(F.sort_array(F.collect_set("at")).alias("removed")))
-
     def keep(batches):
-        for rows in _stretches(batches, 3):
+        for rows in _stretches(batches, 2):
             gone, digest = [], []
-            for r in rows:
-                words = r[3].split()
+            for _, removed, text in rows:
+                words = text.split()
                 depth = np.zeros(len(words) + 1, np.int64)
-                starts = np.array(r[2], np.int64)
+                starts = np.array(removed, np.int64)
                 np.add.at(depth, starts, 1)
                 np.add.at(depth, starts + window, -1)
                 stay = np.cumsum(depth)[:-1] == 0
                 gone.append(int(len(words) - stay.sum()))
                 digest.append(hashlib.sha256(b" ".join(w for w, s in zip(words, stay.tolist(), strict=True) if s)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(gone, pa.int64()), pa.array(digest), pa.array([r[2] for r in rows], pa.list_(pa.int64()))],
-                ["doc_id", "row", "gone", "digest", "removed"],
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array(gone, pa.int64()), pa.array(digest), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
+                ["rid", "gone", "digest", "removed"],
             )
 
-    cleaned = removed.join(source, ["doc_id", "row"]).select("doc_id", "row", "removed", "text")
-    cleaned = cleaned.mapInArrow(keep, "doc_id long, row long, gone long, digest string, removed array<long>")
-    cleaned = cut(cleaned.dropDuplicates(["doc_id", "row"]))
+    scanned = cut(source.mapInArrow(scan, "rid long, doc_id long, row long, n_words long, whole string, anchors array<long>"))
+    marked = _copies(scanned)
+    wanted = _shared_anchors(scanned, marked)
+    windows = cut(
+        wanted.join(source, ["doc_id", "row"]).select("rid", "doc_id", "wanted", "text")
+        .mapInArrow(compare, "rid long, doc_id long, at long, h1 long, h2 long"), free=True
+    )
+    removed = _repeats(windows, marked)
+    cleaned = cut(
+        removed.join(source, ["doc_id", "row"]).select("rid", "removed", "text")
+        .mapInArrow(keep, "rid long, gone long, digest string, removed array<long>").dropDuplicates(["rid"]), free=True
+    )
     whole_gone = F.col("copy") & (F.col("n_words") >= window)
     nothing = hashlib.sha256(b"").hexdigest()
-    return marked.join(cleaned, ["doc_id", "row"], "left").select(
+    return marked.join(cleaned, "rid", "left").select(
         "doc_id",
         "n_words",
         F.when(whole_gone, F.col("n_words")).otherwise(F.coalesce("gone", F.lit(0))).cast("long").alias("n_removed"),
         F.when(whole_gone, F.lit(nothing)).otherwise(F.coalesce("digest", "whole")).alias("kept_sha256"),
         F.when(whole_gone, F.sequence(F.lit(0).cast("long"), F.col("n_words") - window)).otherwise(F.col("removed")).alias("removed"),
     )
+
+
+def _copies(scanned: DataFrame) -> DataFrame:
+    """The rows without their anchors, marking those whose words all stand in a row of smaller id."""
+    earliest = scanned.groupBy("whole").agg(F.min("doc_id").alias("first_id"))
+    rows = scanned.drop("anchors").join(earliest, "whole")
+    copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)).alias("copy")
+    return cut(rows.select("rid", "doc_id", "row", "n_words", "whole", copy))
+
+
+def _shared_anchors(scanned: DataFrame, marked: DataFrame) -> DataFrame:
+    """(rid, doc_id, row, wanted): the anchors that each row, unless a copy, shares with a row of another id."""
+    placed = scanned.where("doc_id is not null").select("rid", "doc_id", F.explode("anchors").alias("anchor"))
+    shared = placed.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
+    lists = placed.select("rid", "anchor").join(shared, "anchor").groupBy("rid").agg(F.collect_list("anchor").alias("wanted"))
+    rows = marked.where("not copy").select("rid", "doc_id", "row")
+    return cut(lists.join(rows, "rid").select("rid", "doc_id", "row", "wanted"), free=True)
+
+
+def _repeats(windows: DataFrame, marked: DataFrame) -> DataFrame:
+    """(rid, doc_id, row, removed): starts of the windows that a row of smaller id holds too."""
+    least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
+    repeats = windows.join(least, ["h1", "h2"]).where("doc_id > lo").select("rid", "at")
+    lists = repeats.groupBy("rid").agg(F.sort_array(F.collect_set("at")).alias("removed"))
+    return cut(lists.join(marked.select("rid", "doc_id", "row"), "rid").select("rid", "doc_id", "row", "removed"), free=True)
