@@ -39,6 +39,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abundara.llm.toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abundara.llm.secrets import secret_spans
 
@@ -52,7 +59,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_packing": op1_packing, "op2_line_cleaning": op2_line_cleaning, "op4_mixing": op4_mixing, "op5_simhash": op5_simhash, "op9_secrets": op9_secrets, "op10_substrings": op10_substrings}
+    return {"op1_packing": op1_packing, "op2_line_cleaning": op2_line_cleaning, "op4_mixing": op4_mixing, "op5_simhash": op5_simhash, "op6_toxicity": op6_toxicity, "op9_secrets": op9_secrets, "op10_substrings": op10_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
