@@ -23,22 +23,21 @@ def scratch_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def cut(df: DataFrame, free: bool = False) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends at files any executor can reread.
-
-    ``free`` lets Spark drop the shuffle files of finished steps now, not when the driver next collects garbage.
-    """
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: lineage ends at files any executor can reread."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/cut-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    if free:
-        del df
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps that nothing refers to any more now, not when the driver next collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

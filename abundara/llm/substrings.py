@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abundara.llm.common import cut, text_bytes
+from abundara.llm.common import cut, release, text_bytes
 
 _MIX, _MUL, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Bytes of text parsed at once; a longer text is parsed alone.
@@ -229,14 +229,17 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     scanned = cut(source.mapInArrow(scan, "rid long, doc_id long, row long, n_words long, whole string, anchors array<long>"))
     marked = _copies(scanned)
     wanted = _shared_anchors(scanned, marked)
+    release(docs.sparkSession)
     windows = cut(
         wanted.join(source, ["doc_id", "row"]).select("rid", "doc_id", "wanted", "text")
-        .mapInArrow(compare, "rid long, doc_id long, at long, h1 long, h2 long"), free=True
+        .mapInArrow(compare, "rid long, doc_id long, at long, h1 long, h2 long")
     )
+    release(docs.sparkSession)
     removed = _repeats(windows, marked)
+    release(docs.sparkSession)
     cleaned = cut(
         removed.join(source, ["doc_id", "row"]).select("rid", "removed", "text")
-        .mapInArrow(keep, "rid long, gone long, digest string, removed array<long>").dropDuplicates(["rid"]), free=True
+        .mapInArrow(keep, "rid long, gone long, digest string, removed array<long>").dropDuplicates(["rid"])
     )
     whole_gone = F.col("copy") & (F.col("n_words") >= window)
     nothing = hashlib.sha256(b"").hexdigest()
@@ -263,7 +266,7 @@ def _shared_anchors(scanned: DataFrame, marked: DataFrame) -> DataFrame:
     shared = placed.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
     lists = placed.select("rid", "anchor").join(shared, "anchor").groupBy("rid").agg(F.collect_list("anchor").alias("wanted"))
     rows = marked.where("not copy").select("rid", "doc_id", "row")
-    return cut(lists.join(rows, "rid").select("rid", "doc_id", "row", "wanted"), free=True)
+    return cut(lists.join(rows, "rid").select("rid", "doc_id", "row", "wanted"))
 
 
 def _repeats(windows: DataFrame, marked: DataFrame) -> DataFrame:
@@ -271,4 +274,4 @@ def _repeats(windows: DataFrame, marked: DataFrame) -> DataFrame:
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h1", "h2", "lo")
     repeats = windows.join(least, ["h1", "h2"]).where("doc_id > lo").select("rid", "at")
     lists = repeats.groupBy("rid").agg(F.sort_array(F.collect_set("at")).alias("removed"))
-    return cut(lists.join(marked.select("rid", "doc_id", "row"), "rid").select("rid", "doc_id", "row", "removed"), free=True)
+    return cut(lists.join(marked.select("rid", "doc_id", "row"), "rid").select("rid", "doc_id", "row", "removed"))
