@@ -46,6 +46,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abundara.llm.vectors import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abundara.llm.secrets import secret_spans
 
@@ -59,7 +65,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_packing": op1_packing, "op2_line_cleaning": op2_line_cleaning, "op4_mixing": op4_mixing, "op5_simhash": op5_simhash, "op6_toxicity": op6_toxicity, "op9_secrets": op9_secrets, "op10_substrings": op10_substrings}
+    return {"op1_packing": op1_packing, "op2_line_cleaning": op2_line_cleaning, "op4_mixing": op4_mixing, "op5_simhash": op5_simhash, "op6_toxicity": op6_toxicity, "op8_neighbours": op8_neighbours, "op9_secrets": op9_secrets, "op10_substrings": op10_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
