@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,8 +35,10 @@ def cut(df: DataFrame) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of steps that nothing refers to any more now, not when the driver next collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first collection lets go of the plans, the second of their shuffles
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
