@@ -46,6 +46,21 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abundara.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from abundara.llm.chat import digests, format_turns
+
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.sql(f"SELECT -1L AS conv_id, posexplode(array('user', 'assistant')) AS (turn, role), '{said}' AS text")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return digests(format_turns(rows.unionByName(probe)))
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from abundara.llm.vectors import nearest
 
@@ -65,7 +80,7 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_packing": op1_packing, "op2_line_cleaning": op2_line_cleaning, "op4_mixing": op4_mixing, "op5_simhash": op5_simhash, "op6_toxicity": op6_toxicity, "op8_neighbours": op8_neighbours, "op9_secrets": op9_secrets, "op10_substrings": op10_substrings}
+    return {"op1_packing": op1_packing, "op2_line_cleaning": op2_line_cleaning, "op3_licenses": op3_licenses, "op4_mixing": op4_mixing, "op5_simhash": op5_simhash, "op6_toxicity": op6_toxicity, "op7_chat": op7_chat, "op8_neighbours": op8_neighbours, "op9_secrets": op9_secrets, "op10_substrings": op10_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
