@@ -152,15 +152,18 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> np
     ridge = np.full(x.shape[1], 1.0)
     ridge[-1] = 1e-3
 
+    def margin(w):
+        return y * (x @ w.astype(np.float32))
+
     def loss(w):
-        return 0.5 * ridge @ (w * w) + 0.5 * cost @ np.maximum(0, 1 - y * (x @ w)) ** 2
+        return 0.5 * ridge @ (w * w) + 0.5 * cost @ np.maximum(0, 1 - margin(w)) ** 2
 
     w = np.zeros(x.shape[1])
     now = loss(w)
     for _ in range(rounds):
-        active = y * (x @ w) < 1
-        xa, ya, ca = x[active], y[active], cost[active]
-        step = np.linalg.solve(np.diag(ridge) + (xa * ca[:, None]).T @ xa, xa.T @ (ca * ya)) - w
+        active = margin(w) < 1
+        xa = x[active] * np.sqrt(cost[active])[:, None].astype(np.float32)
+        step = np.linalg.solve(np.diag(ridge) + xa.T @ xa, xa.T @ (np.sqrt(cost) * y)[active].astype(np.float32)) - w
         size = 1.0
         while size > 1e-4 and loss(w + size * step) > now:
             size /= 2
@@ -186,6 +189,19 @@ def _calibrate(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
+def _groups(texts: list[str], size: int = 1 << 19):
+    """Texts in lists of about ``size`` characters."""
+    held, n = [], 0
+    for text in texts:
+        held.append(text)
+        n += len(text)
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
 def _ends(texts: list[str], words: int) -> np.ndarray:
     """Whether a sentence ends after each word, by evenly spreading a text's sentence ends where words were joined."""
     out = np.zeros(words, np.int64)
@@ -207,13 +223,18 @@ def fit(texts: list[str], toxic: list[bool], *, landmarks: int = 512, rounds: in
     if not len(y) or y.all() or not y.any():
         share = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
         return Model(np.zeros(SIDE**3, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
-    code, at = stream(texts)
-    start = np.flatnonzero((code[1:] != 0) & (code[:-1] == 0)) + 1
-    end = np.flatnonzero((code[1:] == 0) & (code[:-1] != 0)) + 1
-    doc = np.searchsorted(at, start, side="right") - 1
-    raw = code.tobytes()
     kinds: dict[bytes, int] = {}
-    kind = np.array([kinds.setdefault(raw[a:b], len(kinds)) for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+    codes, kind, doc, done = [], [], [], 0
+    for group in _groups(texts):  # small groups: few temporaries at once
+        code, at = stream(group)
+        start = np.flatnonzero((code[1:] != 0) & (code[:-1] == 0)) + 1
+        end = np.flatnonzero((code[1:] == 0) & (code[:-1] != 0)) + 1
+        raw = code.tobytes()
+        kind.append(np.fromiter((kinds.setdefault(raw[a:b], len(kinds)) for a, b in zip(start.tolist(), end.tolist(), strict=True)), np.int64, len(start)))
+        doc.append(done + np.searchsorted(at, start, side="right") - 1)
+        codes.append(code)
+        done += len(group)
+    kind, doc = np.concatenate(kind), np.concatenate(doc)
     pairs = np.unique(kind.astype(np.int64) * len(y) + doc)
     of, where = pairs // len(y), pairs % len(y)
     hits, all_ = np.bincount(of, y[where], len(kinds)), np.bincount(of, minlength=len(kinds))
@@ -257,7 +278,7 @@ def fit(texts: list[str], toxic: list[bool], *, landmarks: int = 512, rounds: in
         return out
 
     # a sentence ends at a line end or full stop; it inherits its text's label, and which of its words carry it is latent
-    sentence = np.concatenate([[0], np.cumsum(_ends(texts, len(start)))])[:-1] + doc
+    sentence = np.concatenate([[0], np.cumsum(_ends(texts, len(kind)))])[:-1] + doc
     plain_words = np.unique(plain[odds[plain] < 0.5])
     value, weights, bias = odds[kind], np.zeros(SIDE**3, np.float32), 0.0
     pool = np.zeros(0, np.int64)
@@ -281,14 +302,14 @@ def fit(texts: list[str], toxic: list[bool], *, landmarks: int = 512, rounds: in
         mistaken = rest[: 4 * landmarks]
         mistaken = mistaken[np.sort(np.unique(mistaken, return_index=True)[1])][: landmarks // 2]
         used, basis = space(np.unique(np.concatenate([chosen, plain, kind[lost], mistaken])))
-        x = np.hstack([embed(ids, used, basis), np.ones((len(ids), 1), np.float32)]).astype(np.float64)
+        x = np.hstack([embed(ids, used, basis), np.ones((len(ids), 1), np.float32)])
         worth = np.sqrt(np.maximum(hits[positive], 1))
         cost = np.concatenate([worth / worth.sum(), np.sqrt(times) / np.sqrt(times).sum()]) * penalty
         solved = _svm(x, np.concatenate([np.ones(len(positive)), -np.ones(len(negative))]), cost)
         weights = np.zeros(SIDE**3, np.float32)
         weights[used] = basis @ solved[:-1]
         bias = float(solved[-1])
-        value = word_values(code, weights)[1] + bias
+        value = np.concatenate([word_values(code, weights)[1] for code in codes]) + bias
     best = np.full(len(y), FLOOR)
     np.maximum.at(best, doc, np.maximum(value, FLOOR))
     return Model(weights, bias, *_calibrate(best, y))
