@@ -11,7 +11,7 @@ def cycle_statistics(reads: DataFrame, *, offset: int = 33) -> DataFrame:
     """Per cycle of (seq, qual): count, extremes, mean, quartiles by cumulated histogram, whiskers and base counts."""
     cells = reads.select(F.posexplode(F.split("qual", "")).alias("at", "q"), "seq").where("q <> ''")
     cells = cells.select((F.col("at") + 1).alias("cycle"), (F.ascii("q") - offset).alias("q"), F.upper(F.substring("seq", F.col("at") + 1, F.lit(1))).alias("base"))
-    bars = cells.groupBy("cycle", "q").agg(F.count("*").alias("rows"), *[F.count_if(F.col("base") == b).alias(b) for b in "ACGTN"])
+    bars = cells.groupBy("cycle", "q").agg(F.count("*").alias("rows"), *[F.count_if(F.col("base") == b).alias(f"base_{b}") for b in "ACGTN"])
     upto = Window.partitionBy("cycle").orderBy("q")
     whole = Window.partitionBy("cycle")
     bars = bars.withColumn("c", F.sum("rows").over(upto)).withColumn("t", F.sum("rows").over(whole))
@@ -21,7 +21,7 @@ def cycle_statistics(reads: DataFrame, *, offset: int = 33) -> DataFrame:
 
     rows = bars.groupBy("cycle").agg(
         F.sum("rows").alias("count"), F.min("q").alias("min"), F.max("q").alias("max"), F.sum(F.col("q") * F.col("rows")).alias("sum"),
-        quantile(1).alias("q1"), quantile(2).alias("med"), quantile(3).alias("q3"), *[F.sum(b).alias(f"{b.lower()}_count") for b in "ACGTN"],
+        quantile(1).alias("q1"), quantile(2).alias("med"), quantile(3).alias("q3"), *[F.sum(f"base_{b}").alias(f"{b.lower()}_count") for b in "ACGTN"],
     )
     iqr = F.col("q3") - F.col("q1")
     rows = rows.withColumn("iqr", iqr).withColumn("mean", F.round(F.col("sum") / F.col("count"), 2))
