@@ -1 +1,10 @@
-"""Spark-native abundance analytics: long tables, named columns, lazy operators."""
+"""Spark-native abundance analytics: long tables, named columns, lazy operators.
+
+Functions that run in Python workers travel by value, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

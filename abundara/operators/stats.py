@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import DoubleType
 
 
 def rank_sums(rows: DataFrame, feature: str, group: str, value: str, first: str, second: str) -> DataFrame:
@@ -28,7 +29,7 @@ def rank_sums(rows: DataFrame, feature: str, group: str, value: str, first: str,
     return found.withColumn("u", u).withColumn("z", F.when(deviation > 0, z)).withColumn("auc", F.when((n1 > 0) & (n2 > 0), u / (n1 * n2))).drop("_t")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def two_sided_p(z: pd.Series) -> pd.Series:
     return z.map(lambda x: None if x is None or x != x else math.erfc(abs(x) / math.sqrt(2)))
 
