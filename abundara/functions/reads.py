@@ -179,3 +179,36 @@ def phred_from_solexa(q: Column) -> Column:
 def quality_format(lowest: Column, highest: Column) -> Column:
     """s: Sanger, x: Solexa, i: Illumina, from the range of quality characters seen."""
     return F.when(lowest < 59, "s").when(lowest < 64, "x").when(highest > 74, "i").otherwise("s")
+
+
+def colour_trim(quality: Column, sequence: Column, allowed: str, least_length: int) -> Column:
+    """Cut at the first quality outside a set of characters (a class body); null if too short."""
+    n = F.length(F.regexp_extract(quality, f"^[{allowed}]*", 0))
+    return F.when(n >= least_length, F.struct(F.substring(sequence, F.lit(1), n).alias("seq"), F.substring(quality, F.lit(1), n).alias("qual")))
+
+
+def fasta_to_fastq(name: Column, sequence: Column, quality: str = "I") -> Column:
+    return F.concat(F.lit("@"), name, F.lit("\n"), sequence, F.lit("\n+\n"), F.repeat(F.lit(quality), F.length(sequence)))
+
+
+def fastq_to_fasta(name: Column, sequence: Column) -> Column:
+    return F.concat(F.lit(">"), name, F.lit("\n"), sequence)
+
+
+def sanger_quality(quality: Column, form: str) -> Column:
+    """Quality characters in Sanger form from s (Sanger), i (offset 64) or x (Solexa scores, offset 64)."""
+    if form == "s":
+        return quality
+    code = lambda c: F.ascii(c) - 64
+    one = (lambda c: F.char(code(c) + 33)) if form == "i" else (lambda c: phred_from_solexa(code(c)))
+    return F.array_join(F.transform(F.filter(F.split(quality, ""), lambda c: c != ""), one), "")
+
+
+def mate_suffix(read: Column, mate: Column, keep_single: Column, sequence: Column) -> Column:
+    """Reads named by insert and mate; reads not kept stand as a single N so that mates stay in step."""
+    return F.struct(F.concat_ws("/", read, mate.cast("string")).alias("read_id"), F.when(keep_single, sequence).otherwise("N").alias("seq"))
+
+
+def flag_mate(flag: Column) -> Column:
+    """Mate digit of an alignment flag; null where the read is unmapped."""
+    return F.when(flag.bitwiseAND(4) != 0, None).when(flag.bitwiseAND(128) != 0, 2).otherwise(1)

@@ -90,3 +90,18 @@ def pair_by_header(first: DataFrame, second: DataFrame, stem: str) -> DataFrame:
     b = second.select(F.col(stem).alias("stem"), *[F.col(c).alias(f"{c}_2") for c in second.columns if c != stem], F.lit(True).alias("_2"))
     kind = F.when(F.col("_1") & F.col("_2"), "pair").when(F.col("_1"), "single.1").otherwise("single.2")
     return a.join(b, "stem", "full").withColumn("kind", kind).drop("_1", "_2")
+
+
+def pair_by_place(first: DataFrame, second: DataFrame, place: str, seq: str) -> DataFrame:
+    """Mates paired by their numbered place; kind tells whether both, or which, survived trimming (seq not null)."""
+    a = first.select(place, F.col(seq).alias("seq_1"))
+    b = second.select(place, F.col(seq).alias("seq_2"))
+    kind = F.when(F.col("seq_1").isNotNull() & F.col("seq_2").isNotNull(), "pair").when(F.col("seq_1").isNotNull(), "single.1").when(F.col("seq_2").isNotNull(), "single.2")
+    return a.join(b, place, "full").withColumn("kind", kind).where(F.col("kind").isNotNull())
+
+
+def revision_pairs(rows: DataFrame, *, least_identity: float = 0.9) -> DataFrame:
+    """Alignments (insert, mate, identity) of inserts whose two mates pass, with each read's number of hits."""
+    good = rows.where(F.col("identity") >= least_identity)
+    mates = F.size(F.collect_set("mate").over(Window.partitionBy("insert")))
+    return good.withColumn("_m", mates).where("_m = 2").drop("_m").withColumn("hits", F.count("*").over(Window.partitionBy("insert", "mate")))

@@ -367,3 +367,74 @@ def top_tags(t):
 @query("codon_translation")
 def codon_translation(t):
     return t.documents.select("doc_id", R.translate_codons(F.regexp_replace(F.upper("text"), "[^ACGT]", "")).alias("protein"))
+
+
+@query("positional_pairs", """
+SELECT kind, count(*) AS n FROM (SELECT CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN 'pair' WHEN a IS NOT NULL THEN 'single.1' WHEN b IS NOT NULL THEN 'single.2' END AS kind
+FROM (SELECT doc_id, CASE WHEN n_chars > 1000 THEN 1 END AS a, CASE WHEN doc_id % 3 > 0 THEN 1 END AS b FROM documents)) WHERE kind IS NOT NULL GROUP BY kind""")
+def positional_pairs(t):
+    a = t.documents.select("doc_id", F.when(C("n_chars") > 1000, "x").alias("seq"))
+    b = t.documents.select("doc_id", F.when(C("doc_id") % 3 > 0, "x").alias("seq"))
+    return filters.pair_by_place(a, b, "doc_id", "seq").groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query("colour_trim", "SELECT doc_id, regexp_extract(text, '^[A-Za-z ]*') AS trimmed FROM documents WHERE length(regexp_extract(text, '^[A-Za-z ]*')) >= 20")
+def colour_trim(t):
+    cut = R.colour_trim(C("text"), C("text"), "A-Za-z ", 20)
+    return t.documents.select("doc_id", cut.alias("c")).where("c is not null").select("doc_id", C("c.qual").alias("trimmed"))
+
+
+@query("revision_pairs", """
+WITH g AS (SELECT l_orderkey, l_linenumber % 2 AS mate, l_partkey FROM lineitem WHERE 1 - l_discount >= 0.95)
+SELECT l_orderkey, mate, l_partkey, count(*) OVER (PARTITION BY l_orderkey, mate) AS hits FROM g QUALIFY min(mate) OVER (PARTITION BY l_orderkey) <> max(mate) OVER (PARTITION BY l_orderkey)""")
+def revision_pairs(t):
+    rows = t.lineitem.select(C("l_orderkey").alias("insert"), (C("l_linenumber") % 2).alias("mate"), "l_partkey", (1 - C("l_discount")).alias("identity"))
+    return filters.revision_pairs(rows, least_identity=0.95).select(C("insert").alias("l_orderkey"), "mate", "l_partkey", "hits")
+
+
+@query("flag_mates", "SELECT CASE WHEN l_orderkey % 256 & 4 <> 0 THEN NULL WHEN l_orderkey % 256 & 128 <> 0 THEN 2 ELSE 1 END AS mate, count(*) AS n FROM lineitem GROUP BY 1")
+def flag_mates(t):
+    return t.lineitem.groupBy(R.flag_mate(C("l_orderkey") % 256).alias("mate")).agg(F.count("*").alias("n"))
+
+
+@query("quality_conversion", "SELECT doc_id, array_to_string(list_transform(string_split(regexp_replace(text[1:40], '[^A-Za-z]', '', 'g'), ''), lambda c: chr(ascii(c) - 31)), '') AS qual FROM documents WHERE regexp_matches(text[1:40], '[A-Za-z]')")
+def quality_conversion(t):
+    q = F.regexp_replace(F.substring("text", 1, 40), "[^A-Za-z]", "")
+    return t.documents.select("doc_id", R.sanger_quality(q, "i").alias("qual")).where("qual <> ''")
+
+
+@query("quality_format", "SELECT lang, CASE WHEN lo < 59 THEN 's' WHEN lo < 64 THEN 'x' WHEN hi > 74 THEN 'i' ELSE 's' END AS form FROM (SELECT lang, min(ascii(text[1])) AS lo, max(ascii(text[1])) AS hi FROM documents GROUP BY lang)")
+def quality_format(t):
+    first = F.ascii(F.substring("text", 1, 1))
+    return t.documents.groupBy("lang").agg(R.quality_format(F.min(first), F.max(first)).alias("form"))
+
+
+@query("sequence_formats", "SELECT doc_id, '>' || doc_id || chr(10) || text[1:20] AS fasta, '@' || doc_id || chr(10) || text[1:20] || chr(10) || '+' || chr(10) || repeat('I', length(text[1:20])) AS fastq FROM documents")
+def sequence_formats(t):
+    name, seq = C("doc_id").cast("string"), F.substring("text", 1, 20)
+    return t.documents.select("doc_id", R.fastq_to_fasta(name, seq).alias("fasta"), R.fasta_to_fastq(name, seq).alias("fastq"))
+
+
+@query("marker_partitions", "SELECT split_part(p_brand || '.' || p_partkey, '.', 1) AS cog, count(*) AS features, sum(p_size)::BIGINT AS value FROM part GROUP BY 1")
+def marker_partitions(t):
+    rows = t.part.select(F.concat_ws(".", "p_brand", C("p_partkey").cast("string")).alias("feature"), "p_size")
+    return rows.groupBy(F.split_part("feature", F.lit("."), F.lit(1)).alias("cog")).agg(F.count("*").alias("features"), F.sum("p_size").alias("value"))
+
+
+@query("summary_union", "SELECT 'orders' AS stage, count(*) AS rows, sum(o_totalprice) AS total, NULL::BIGINT AS parts FROM orders UNION ALL SELECT 'lines', count(*), NULL, count(DISTINCT l_partkey) FROM lineitem")
+def summary_union(t):
+    from abundara.sources.writers import summaries
+
+    return summaries({"orders": t.orders.agg(F.count("*").alias("rows"), F.sum("o_totalprice").alias("total")), "lines": t.lineitem.agg(F.count("*").alias("rows"), F.count_distinct("l_partkey").alias("parts"))}).select("stage", "rows", "total", "parts")
+
+
+@query("paired_sam", """
+WITH r AS (SELECT l_orderkey AS i, l_linenumber AS m, l_suppkey % 5 AS ref, l_partkey AS pos, l_quantity::BIGINT AS len, l_linestatus = 'O' AS rev FROM lineitem WHERE l_linenumber <= 2 QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1)
+SELECT a.i AS insert, a.m AS mate, a.pos, 1 + CASE WHEN a.ref = b.ref THEN 2 ELSE 0 END + CASE WHEN b.i IS NULL THEN 8 ELSE 0 END + CASE WHEN a.rev THEN 16 ELSE 0 END + CASE WHEN b.rev THEN 32 ELSE 0 END + CASE WHEN a.m = 1 THEN 64 ELSE 128 END AS flag,
+coalesce(b.pos, 0) AS pnext, CASE WHEN a.ref = b.ref THEN (greatest(a.pos + a.len, b.pos + b.len) - least(a.pos, b.pos)) * CASE WHEN a.pos <= b.pos THEN 1 ELSE -1 END ELSE 0 END AS tlen FROM r a LEFT JOIN r b ON a.i = b.i AND b.m = 3 - a.m""")
+def paired_sam(t):
+    from abundara.sources.writers import paired_sam as run
+
+    rows = t.lineitem.where("l_linenumber <= 2").withColumn("n", F.count("*").over(Window.partitionBy("l_orderkey", "l_linenumber"))).where("n = 1")
+    rows = rows.select(C("l_orderkey").alias("insert"), C("l_linenumber").alias("mate"), (C("l_suppkey") % 5).cast("string").alias("ref"), C("l_partkey").alias("pos"), C("l_quantity").cast("long").alias("length"), F.when(C("l_linestatus") == "O", "-").otherwise("+").alias("strand"))
+    return run(rows).select("insert", "mate", "pos", "flag", "pnext", "tlen")

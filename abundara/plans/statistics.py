@@ -416,3 +416,31 @@ def thin_counts(t):
 @query("bootstrap")
 def bootstrap(t):
     return S.bootstrap(cells(t), 100, 3)
+
+
+@query("sample_clusters")
+def sample_clusters(t):
+    """k-medoids of samples on their Jensen-Shannon distances, k by between over within variance."""
+    from abundara.operators import clustering as K
+
+    names, d = K.square(M.distances(M.zero_fill(cells(t)), "jsd"))
+    groups, _ = K.k_medoids(d, K.best_k(d)) if len(names) > 2 else ([0] * len(names), None)
+    return t.spark.createDataFrame([(n, int(g)) for n, g in zip(names, groups, strict=True)], "sample string, cluster int")
+
+
+@query("principal_coordinates")
+def principal_coordinates(t):
+    from abundara.operators import clustering as K
+
+    names, d = K.square(M.distances(M.zero_fill(cells(t)), "jsd"))
+    if not names:
+        return t.spark.createDataFrame([], "sample string, x double, y double")
+    axes, _ = K.principal_coordinates(d)
+    return t.spark.createDataFrame([(n, float(a[0]), float(a[1])) for n, a in zip(names, axes, strict=True)], "sample string, x double, y double")
+
+
+@query("event_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY ALL")
+def event_windows(t):
+    from abundara.streaming.profiles import windowed_events
+
+    return rounded(windowed_events(t.events), "value", digits=4)

@@ -204,3 +204,30 @@ def read_lower_triangle(spark: SparkSession, path) -> DataFrame:
 
 def read_samples(spark: SparkSession, path) -> DataFrame:
     return lines(spark, path, "#").select(F.trim("value").alias("sample")).where("sample <> ''")
+
+
+def read_gene_report(spark: SparkSession, path) -> DataFrame:
+    """contig, gene, strand, start, stop, length, class of a gene finder's report; a header names each contig's table.
+
+    The contig a line belongs to stands above it, so a file is read in order by one task.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows, contig = [], None
+            for content in batch.column("content"):
+                for line in _text_lines(pa.BufferReader(content.as_buffer())):
+                    if line.startswith("FASTA definition line:"):
+                        contig = line.split(":", 1)[1].strip().lstrip(">")
+                    cells = line.split()
+                    if len(cells) >= 5 and cells[0].isdigit() and cells[1] in "+-" and contig is not None:
+                        start, stop = (int(c.lstrip("<>")) for c in cells[2:4])
+                        rows.append((contig, f"{contig}_{cells[0]}", cells[1], start, stop, int(cells[4]), cells[5] if len(cells) > 5 else None))
+            if rows:
+                kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["contig", "gene", "strand", "start", "stop", "length", "class"])
+
+    schema = "contig string, gene string, strand string, start long, stop long, length long, class string"
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)

@@ -65,3 +65,20 @@ def soap_to_sam(rows: DataFrame, *, least_length: int = 45, least_identity: floa
     return kept.select(
         "read_id", F.when(F.col("strand") == "-", 16).otherwise(0).alias("flag"), "ref", "pos", F.lit(255).alias("mapq"), "cigar", F.lit("*").alias("rnext"), F.lit(0).cast("long").alias("pnext"), F.lit(0).cast("long").alias("tlen"), "seq", "qual",
         F.create_map(F.lit("AS"), mapping_quality(F.col("_id")).cast("string"), F.lit("NM"), F.col("_nm").cast("string")).alias("tags"))
+
+
+def save_summary(summary: DataFrame, name: str) -> None:
+    """A summary as a managed table that replaces the one before."""
+    summary.write.mode("overwrite").saveAsTable(name)
+
+
+def paired_sam(pairs: DataFrame) -> DataFrame:
+    """Flags, mate places and insert sizes for rows (insert, mate, ref, pos, length, strand) whose mates may be joined."""
+    other = pairs.select(F.col("insert").alias("_i"), (3 - F.col("mate")).alias("_m"), F.col("ref").alias("_ref"), F.col("pos").alias("_pos"), F.col("length").alias("_len"), F.col("strand").alias("_strand"))
+    rows = pairs.join(other, (F.col("insert") == F.col("_i")) & (F.col("mate") == F.col("_m")), "left")
+    found, same = F.col("_i").isNotNull(), F.col("ref") == F.col("_ref")
+    reverse, mate_reverse = (F.when(F.col(c) == "-", b).otherwise(0) for c, b in (("strand", 16), ("_strand", 32)))
+    flag = F.lit(1).bitwiseOR(F.when(found & same, 2).otherwise(0)).bitwiseOR(F.when(found, 0).otherwise(8)).bitwiseOR(reverse).bitwiseOR(F.when(found, mate_reverse).otherwise(0)).bitwiseOR(F.when(F.col("mate") == 1, 64).otherwise(128))
+    left, right = F.least("pos", "_pos"), F.greatest(F.col("pos") + F.col("length"), F.col("_pos") + F.col("_len"))
+    size = F.when(found & same, F.when(F.col("pos") <= F.col("_pos"), right - left).otherwise(left - right)).otherwise(0)
+    return rows.select("insert", "mate", "ref", "pos", flag.alias("flag"), F.when(found, F.when(same, "=").otherwise(F.col("_ref"))).otherwise("*").alias("rnext"), F.coalesce("_pos", F.lit(0)).alias("pnext"), size.alias("tlen"))
