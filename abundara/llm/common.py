@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
+import shutil
 import tempfile
 import time
 import uuid
@@ -19,6 +21,7 @@ def scratch_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
         found = tempfile.mkdtemp(prefix="scratch-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
