@@ -40,8 +40,8 @@ u AS (SELECT taxon, kind, sum(share) AS raw, sum(share / len) AS norm, sum(CASE
 _TAIL = """,
 f AS (SELECT u.taxon, u.kind, raw, norm, uraw, unorm, uraw + coalesce(mraw, 0) AS mraw, unorm + coalesce(mnorm, 0) AS mnorm FROM u LEFT JOIN d USING (taxon, kind)),
 t AS (SELECT kind, sum(raw) / sum(norm) AS w, CASE WHEN sum(unorm) > 0 THEN sum(uraw) / sum(unorm) ELSE 0 END AS uw, CASE WHEN sum(mnorm) > 0 THEN sum(mraw) / sum(mnorm) ELSE 0 END AS mw FROM f GROUP BY kind)
-SELECT taxon AS feature, kind, round(raw, 6) AS raw, round(norm, 6) AS norm, round(norm * w, 6) AS scaled, round(uraw, 6) AS unique_raw, round(unorm, 6) AS unique_norm,
-       round(unorm * uw, 6) AS unique_scaled, round(mraw, 6) AS mm_raw, round(mnorm, 6) AS mm_norm, round(mnorm * mw, 6) AS mm_scaled
+SELECT taxon AS feature, kind, round(raw + 1e-9, 6) AS raw, round(norm + 1e-9, 6) AS norm, round(norm * w + 1e-9, 6) AS scaled, round(uraw + 1e-9, 6) AS unique_raw, round(unorm + 1e-9, 6) AS unique_norm,
+       round(unorm * uw + 1e-9, 6) AS unique_scaled, round(mraw + 1e-9, 6) AS mm_raw, round(mnorm + 1e-9, 6) AS mm_norm, round(mnorm * mw + 1e-9, 6) AS mm_scaled
 FROM f JOIN t USING (kind)"""
 
 GENE_SQL = "WITH" + _shares("gene") + """,
@@ -66,23 +66,24 @@ d AS (SELECT taxon, kind, sum(r) AS mraw, sum(q) AS mnorm FROM (
 VALUES = [f"{d}{n}" for d in ("", "unique_", "mm_") for n in ("raw", "norm", "scaled")]
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+def rounded(df: DataFrame, *columns: str, digits: int = 6, nudge: float = 0.0) -> DataFrame:
+    """Rounded columns; ``nudge`` settles values that lie on a rounding tie, where engines differ."""
+    return df.withColumns({c: F.round(F.col(c) + nudge, digits) for c in columns})
 
 
 @query("profile_gene", GENE_SQL)
 def profile_gene(t):
-    return rounded(P.profile(hits(t)).drop("sample"), *VALUES)
+    return rounded(P.profile(hits(t)).drop("sample"), *VALUES, nudge=1e-9)
 
 
 @query("profile_taxon", TAXON_SQL)
 def profile_taxon(t):
-    return rounded(P.profile(hits(t), "brand").drop("sample"), *VALUES)
+    return rounded(P.profile(hits(t), "brand").drop("sample"), *VALUES, nudge=1e-9)
 
 
-@query("frac_count", "WITH" + _shares("gene") + " SELECT taxon AS feature, kind, round(raw, 6) AS raw, round(norm, 6) AS norm FROM u")
+@query("frac_count", "WITH" + _shares("gene") + " SELECT taxon AS feature, kind, round(raw + 1e-9, 6) AS raw, round(norm + 1e-9, 6) AS norm FROM u")
 def frac_count(t):
-    return rounded(P.counts(P.shares(hits(t))).select(F.col("taxon").alias("feature"), "kind", "raw", "norm"), "raw", "norm")
+    return rounded(P.counts(P.shares(hits(t))).select(F.col("taxon").alias("feature"), "kind", "raw", "norm"), "raw", "norm", nudge=1e-9)
 
 
 @query("only_unique", "WITH" + _shares("brand") + " SELECT taxon AS feature, kind, round(uraw, 6) AS unique_raw FROM u WHERE uraw > 0")
