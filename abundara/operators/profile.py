@@ -27,8 +27,8 @@ def insert_values(hits: DataFrame, taxon: str | None = None) -> DataFrame:
 def allow(values: DataFrame) -> DataFrame:
     """Rows whose taxon the mates agree on; where mates share no taxon, or only one maps, all rows.
 
-    agreed says whether the agreement holds for the insert, n_taxa and n_genes count what is
-    allowed within (insert, type).
+    agreed says whether the agreement holds for the insert, alone whether one taxon only is
+    allowed within (insert, type), n_genes counts the rows allowed there.
     """
     w = Window.partitionBy(*INSERT)
     per_taxon = Window.partitionBy(*INSERT, "taxon")
@@ -37,7 +37,7 @@ def allow(values: DataFrame) -> DataFrame:
     rows = rows.withColumn("agreed", F.max("both").over(w))
     rows = rows.where(F.col("both") | ~F.col("agreed"))
     by_type = Window.partitionBy(*INSERT, "type")
-    return rows.withColumn("n_taxa", F.size(F.collect_set("taxon").over(by_type))).withColumn("n_genes", F.count("*").over(by_type)).drop("both")
+    return rows.withColumn("alone", F.min("taxon").over(by_type) == F.max("taxon").over(by_type)).withColumn("n_genes", F.count("*").over(by_type)).drop("both")
 
 
 def shares(hits: DataFrame, taxon: str | None = None) -> DataFrame:
@@ -49,13 +49,13 @@ def shares(hits: DataFrame, taxon: str | None = None) -> DataFrame:
         genes = allow(values.withColumn("taxon", F.col("gene"))).groupBy(*INSERT, "type").agg(F.count("*").alias("gene_count"))
         rows = rows.join(genes, [*INSERT, "type"])
         count = F.when(F.col("agreed"), F.col("n_genes")).otherwise(F.col("gene_count"))
-    return rows.select(*INSERT, "type", "gene", "taxon", "length", "n_taxa", (F.col("value") / count).alias("share"), F.when(F.col("type") == "insert", "insert").otherwise("base").alias("kind"))
+    return rows.select(*INSERT, "type", "gene", "taxon", "length", "alone", (F.col("value") / count).alias("share"), F.when(F.col("type") == "insert", "insert").otherwise("base").alias("kind"))
 
 
 def counts(share: DataFrame) -> DataFrame:
     """raw, norm, unique raw and unique norm by (sample, taxon, kind)."""
     norm = F.col("share") / F.col("length")
-    unique = F.col("n_taxa") == 1
+    unique = F.col("alone")
     return share.groupBy("sample", "taxon", "kind").agg(
         F.sum("share").alias("raw"), F.sum(norm).alias("norm"),
         F.sum(F.when(unique, F.col("share")).otherwise(0.0)).alias("unique_raw"), F.sum(F.when(unique, norm).otherwise(0.0)).alias("unique_norm"),
@@ -78,7 +78,7 @@ def redistribute(share: DataFrame, totals: DataFrame, gene_totals: DataFrame | N
     is divided among its genes within the insert.
     """
     w = Window.partitionBy(*INSERT, "type")
-    many = share.where("n_taxa > 1").withColumn("v", F.sum("share").over(w))
+    many = share.where("not alone").withColumn("v", F.sum("share").over(w))
     if gene_totals is not None:
         genes = gene_share.select(*INSERT, "type", "kind", F.col("gene").alias("taxon"))
         passed = _weights(genes, gene_totals).select(*INSERT, "type", F.col("taxon").alias("gene"))
@@ -95,16 +95,17 @@ def redistribute(share: DataFrame, totals: DataFrame, gene_totals: DataFrame | N
 
 def profile(hits: DataFrame, taxon: str | None = None) -> DataFrame:
     """sample, feature, kind (base, insert) and raw, norm and scaled values of the plain, unique and redistributed counts."""
-    share = shares(hits, taxon)
-    totals = counts(share)
+    # both passes, and the scaling, read the shares and totals: they are kept rather than computed anew
+    share = shares(hits, taxon).persist()
+    totals = counts(share).persist()
     if taxon:
-        gene_share = shares(hits)
+        gene_share = shares(hits).persist()
         dealt = redistribute(share, totals, counts(gene_share), gene_share)
     else:
         dealt = redistribute(share, totals)
     rows = totals.join(dealt, ["sample", "taxon", "kind"], "left")
     rows = rows.withColumn("mm_raw", F.col("unique_raw") + F.coalesce("mm_raw", F.lit(0.0))).withColumn("mm_norm", F.col("unique_norm") + F.coalesce("mm_norm", F.lit(0.0)))
-    return scaled(rows).withColumnRenamed("taxon", "feature")
+    return scaled(rows.persist()).withColumnRenamed("taxon", "feature")
 
 
 def scaled(rows: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def seen_taxa(t):
 
 @query("multi_mappers", "WITH" + _shares("brand") + " SELECT ins AS insert_id, type, round(sum(share), 6) AS value, count(*) AS targets FROM s WHERE n_taxa > 1 GROUP BY ALL")
 def multi_mappers(t):
-    rows = P.shares(hits(t), "brand").where("n_taxa > 1").groupBy("insert_id", "type").agg(F.sum("share").alias("value"), F.count("*").alias("targets"))
+    rows = P.shares(hits(t), "brand").where("not alone").groupBy("insert_id", "type").agg(F.sum("share").alias("value"), F.count("*").alias("targets"))
     return rounded(rows, "value")
 
 
