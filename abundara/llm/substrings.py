@@ -264,6 +264,8 @@ def _shared_anchors(scanned: DataFrame, marked: DataFrame) -> DataFrame:
     """(rid, doc_id, row, wanted): the anchors that each row, unless a copy, shares with a row of another id."""
     placed = scanned.where("doc_id is not null").select("rid", F.explode("anchors").alias("anchor"))
     shared = placed.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1").select("anchor")  # a row has an anchor once
+    shared = cut(shared)  # both sides of the join are then plain exchanges, which adaptive execution can split
+    release(scanned.sparkSession)
     lists = placed.join(shared, "anchor").groupBy("rid").agg(F.collect_list("anchor").alias("wanted"))
     rows = marked.where("not copy").select("rid", "doc_id", "row")
     return cut(lists.join(rows, "rid").select("rid", "doc_id", "row", "wanted"))
@@ -272,6 +274,8 @@ def _shared_anchors(scanned: DataFrame, marked: DataFrame) -> DataFrame:
 def _repeats(windows: DataFrame, marked: DataFrame) -> DataFrame:
     """(rid, doc_id, row, removed): starts of the windows that a row of smaller id holds too."""
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.count("*").alias("rows")).where("rows > 1").select("h1", "h2", "lo")
+    least = cut(least)
+    release(windows.sparkSession)
     repeats = windows.join(least, ["h1", "h2"]).where("doc_id > lo").select("rid", "at")
     lists = repeats.groupBy("rid").agg(F.sort_array(F.collect_set("at")).alias("removed"))
     return cut(lists.join(marked.select("rid", "doc_id", "row"), "rid").select("rid", "doc_id", "row", "removed"))
