@@ -8,6 +8,10 @@ first pass's unique abundances back to the multi-mapping targets.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -93,19 +97,29 @@ def redistribute(share: DataFrame, totals: DataFrame, gene_totals: DataFrame | N
     return rows.groupBy("sample", "taxon", "kind").agg(F.sum("mm_raw").alias("mm_raw"), F.sum("mm_norm").alias("mm_norm"))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A checkpoint in the folder of spark.checkpoint.dir (one is set only where none is): later passes read it back."""
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        folder = tempfile.mkdtemp(prefix="profiles-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def profile(hits: DataFrame, taxon: str | None = None) -> DataFrame:
     """sample, feature, kind (base, insert) and raw, norm and scaled values of the plain, unique and redistributed counts."""
     # both passes, and the scaling, read the shares and totals: they are kept rather than computed anew
-    share = shares(hits, taxon).persist()
-    totals = counts(share).persist()
+    share = _kept(shares(hits, taxon))
+    totals = _kept(counts(share))
     if taxon:
-        gene_share = shares(hits).persist()
+        gene_share = _kept(shares(hits))
         dealt = redistribute(share, totals, counts(gene_share), gene_share)
     else:
         dealt = redistribute(share, totals)
     rows = totals.join(dealt, ["sample", "taxon", "kind"], "left")
     rows = rows.withColumn("mm_raw", F.col("unique_raw") + F.coalesce("mm_raw", F.lit(0.0))).withColumn("mm_norm", F.col("unique_norm") + F.coalesce("mm_norm", F.lit(0.0)))
-    return scaled(rows.persist()).withColumnRenamed("taxon", "feature")
+    return scaled(_kept(rows)).withColumnRenamed("taxon", "feature")
 
 
 def scaled(rows: DataFrame) -> DataFrame:
