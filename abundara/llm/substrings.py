@@ -34,7 +34,7 @@ from abundara.llm.common import cut, release, text_bytes
 
 _MIX, _MUL, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Bytes of text parsed at once; a longer text is parsed alone.
-STRETCH = 8 << 20
+STRETCH = 2 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
