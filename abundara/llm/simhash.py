@@ -205,11 +205,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return marked.join(components, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest id; rows without an id stay."""
-    marked = cut(near_duplicates(docs, id_col=id_col, text_col=text_col, **options))
+def keep_roots(docs: DataFrame, marked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows whose doc_id is not their component_id in ``marked``; rows without an id stay."""
+    marked = cut(marked)
     first = marked.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     kept = docs.join(first, id_col, "left_semi")
     if not marked.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates([id_col, text_col])
     return kept.unionByName(docs.where(F.col(id_col).isNull()))
+
+
+def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id; rows without an id stay."""
+    return keep_roots(docs, near_duplicates(docs, id_col=id_col, text_col=text_col, **options), id_col, text_col)
