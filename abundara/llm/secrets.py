@@ -4,7 +4,8 @@ Every text is scanned once per pattern inside the row.  Candidate values are has
 counted by distinct repositories and owners over the whole corpus (grouped counts,
 combined before each shuffle): a value found under many owners is a widely copied example,
 one confined to few looks live.  Base findings always stay; findings of the further
-patterns stay only if they look live.
+patterns stay only if they look live.  A private key is its whole block: the body is
+counted, the span runs from the header to the END line, or over the body if that is missing.
 
 Defined results: null and empty texts have no findings; a null id is kept; rows repeated
 with the same id and text get the same findings; a null owner or repository counts as one
@@ -19,12 +20,16 @@ from pyspark.sql import Window
 
 from abundara.llm.common import cut, fresh
 
+_HEADER = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+#: What follows the header: all up to the END line, or without one the lines of the body.  Loops are possessive and bounded: no backtracking, no deep stack.
+_CLOSED = r"[^-]*+(?:-{1,4}+[^-]++){0,64}+-----END [A-Z ]*PRIVATE KEY-----"
+_OPEN = r"(?:\s*+(?:Proc-Type|DEK-Info):[^\r\n]*+){0,4}+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{16,}+={0,2}+){0,400}+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{1,15}+={1,2}+)?+"
 #: kind, pattern, group holding the value, least length of the value, whether it is a base kind.
 KINDS = (
     ("assign", r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6, True),
     ("access", r"AKIA[A-Z0-9]+", 0, 20, True),
     ("hex", r"[0-9a-f]{24,}", 0, 24, True),
-    ("private", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1, False),
+    ("private", _HEADER + r"((?:" + _CLOSED + "|" + _OPEN + "))", 1, 0, False),
     ("platform", r"(?:gh[opusr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})", 0, 14, False),
     ("bearer", r"[Bb]earer\x20+([A-Za-z0-9+/_.=-]{16,})", 1, 16, False),
 )
@@ -33,12 +38,13 @@ KINDS = (
 def _found(text: Column, number: int) -> Column:
     """Matches of one kind, each with the length of the text since the match before."""
     _, pattern, group, _, _ = KINDS[number]
+    same = (lambda v: F.regexp_replace(v, r"\s+|\\[nr]", "")) if KINDS[number][0] == "private" else (lambda v: v)  # a key wrapped otherwise is the same key
     gaps, whole, value = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     rows = F.transform(
         F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), value.alias("value")),
         lambda x: F.struct(
             F.lit(number).alias("kind"), F.length(x["gap"]).alias("gap"), F.length(x["whole"]).alias("size"),
-            F.sha2(x["value"], 256).alias("value"), F.length(x["value"]).alias("value_size"),
+            F.sha2(same(x["value"]), 256).alias("value"), F.length(x["value"]).alias("value_size"),
         ),
     )
     return F.when(text.rlike(pattern), F.filter(rows, lambda x: x["size"].isNotNull()))
@@ -114,9 +120,14 @@ def redact(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def _oracle() -> str:
-    """The same result from plain SQL: matches and the gaps between them, summed up to positions."""
+    """The same result from plain SQL: matches and the gaps between them, summed up to positions.
+
+    Its pattern for private keys is the header alone, so it differs on tables that hold such keys.
+    """
     scans = []
-    for number, (_, pattern, group, least, base) in enumerate(KINDS):
+    for number, (kind, pattern, group, least, base) in enumerate(KINDS):
+        if kind == "private":
+            pattern, group, least = _HEADER, 0, 1
         p = pattern.replace("'", "''")
         scans.append(
             f"SELECT doc_id, source, lang, {number} AS kind, {least} AS least, {str(base).lower()} AS base, "
