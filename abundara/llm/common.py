@@ -1,12 +1,10 @@
-"""Shared helpers: scratch tables in the cluster's shared folder, and table readers."""
+"""Shared helpers: written tables in the cluster's shared folder, and table readers."""
 
 from __future__ import annotations
 
 import atexit
-import gc
 import shutil
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +12,20 @@ from pyspark.sql import functions as F
 
 #: A word is a run without the six ASCII white-space characters (also what bytes.split() cuts at).
 WORD = r"[^\x20\x09-\x0D]+"
+#: Shuffle files of a finished write go at its end, not when the driver next collects garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; one is set only where none is."""
+    """The shared folder named by spark.checkpoint.dir.
+
+    Only a local master, whose executor is this process, may leave it unset and gets a folder
+    of its own that goes at exit; on a cluster a missing setting is an error.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="scratch-")
         atexit.register(shutil.rmtree, found, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(found)
@@ -28,20 +34,32 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage ends at files any executor can reread."""
+    """Write ``df`` once to the shared folder and read it back: lineage ends at files any executor can reread.
+
+    An aggregate written before a join also lets adaptive execution split the join's hot keys:
+    both sides are then plain exchanges.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/cut-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps that nothing refers to any more now, not when the driver next collects garbage."""
-    for _ in range(2):  # the first collection lets go of the plans, the second of their shuffles
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+    schema, before = df.schema, spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+    table_ = spark.read.schema(schema).parquet(path)
+    table_.written_to = path
+    return table_
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``cut`` that no later step reads: only for those whose every reader has been written itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +71,11 @@ def text_bytes(column: str = "text"):
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def text_digest(column: str = "text"):
+    """64 bits that tell texts apart, null as empty."""
+    return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
 def fresh(name: str, taken) -> str:
     """A column name that clashes with none of ``taken``, compared as Spark does (without case)."""
     used = {c.lower() for c in taken}

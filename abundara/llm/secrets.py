@@ -66,7 +66,7 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     rows = cut(rows.select("doc_id", "row", "owner", "repository", "kind", "value", "start", "end"))
     per_repository = rows.groupBy("value", "owner", "repository").agg(F.count("*").alias("n"))
     per_owner = per_repository.groupBy("value", "owner").agg(F.count("*").alias("repositories"))
-    spread = per_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    spread = cut(per_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories")))  # written: a hot value's rows can be split
     base = F.element_at(F.array(*[F.lit(k[4]) for k in KINDS]), F.col("kind") + 1)
     found = rows.join(spread, "value").withColumn("live", F.col("owners") < copied_owners)
     return found.where(base | F.col("live")).select("doc_id", "row", "kind", "start", "end", "owners", "repositories", "live")

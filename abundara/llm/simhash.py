@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abundara.llm.common import cut, text_bytes
+from abundara.llm.common import cut, discard, fresh, text_bytes, text_digest
 from abundara.llm.graph import connected
 
 #: Shingles are hashed and counted this many at a time, so a very long text needs bounded memory.
@@ -47,14 +47,14 @@ def simhash(text: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id long, fp long) for every row; fp holds the 64 bits as a signed long."""
+    """(doc_id long, row long, fp long) for every row; row is a digest of the text, fp holds the 64 bits as a signed long."""
 
     def run(batches):
         for batch in batches:
-            found = np.array([simhash(t.as_py(), shingle, seed) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([simhash(t.as_py(), shingle, seed) for t in batch.column(2)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found.view(np.int64))], ["doc_id", "row", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(text_col).alias("row"), text_bytes(text_col).alias("text")).mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def variant_keys(fp: np.ndarray, hot_low: np.ndarray, hot_high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +190,7 @@ def fingerprint_links(classes: DataFrame, bits: int = 2, hot: int = 2000) -> Dat
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, bits: int = 2, hot: int = 2000) -> DataFrame:
-    """One row per input row: doc_id, fp (long), component_id (smallest id reachable over links of <= ``bits``).
+    """One row per input row: doc_id, row (digest of the text), fp (long), component_id (smallest id reachable over links of <= ``bits``).
 
     Null and empty texts have fingerprint zero and link like any other.  Rows with a null
     id get their component's id (null if no row of it has one).  Repeated rows give
@@ -199,20 +199,36 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     marked = cut(fingerprints(docs, id_col, text_col, shingle, seed))
     classes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     nodes = cut(connected(fingerprint_links(classes.select("fp"), bits, hot)))
-    rooted = classes.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    rooted = cut(classes.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+    least = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
     components = cut(rooted.join(least, "root").select("fp", "component_id"))
-    return marked.join(components, "fp").select("doc_id", "fp", "component_id")
+    discard(classes, nodes, rooted, least)
+    return marked.join(components, "fp").select("doc_id", "row", "fp", "component_id")
+
+
+def small(df: DataFrame, rows: int = 250_000) -> DataFrame:
+    """A broadcast hint where the written table's checked size (two longs a row: under 25 MB) allows it."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def keep_roots(docs: DataFrame, marked: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` without the rows whose doc_id is not their component_id in ``marked``; rows without an id stay."""
-    marked = cut(marked)
-    first = marked.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(first, id_col, "left_semi")
-    if not marked.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, text_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    """``docs`` with one row of each component of ``marked`` (doc_id, row, component_id): that of the smallest id.
+
+    Of rows that share the smallest id the one whose text has the least digest stays, and of
+    that one's exact repeats one.  Rows without an id stay.  Where the rows to drop are few
+    enough to be broadcast, no text is shuffled.
+    """
+    marked = cut(marked.where("doc_id is not null").select("doc_id", "row", "component_id"))
+    first = marked.where("doc_id = component_id").groupBy("doc_id", "row").agg(F.count("*").alias("n"))
+    first = cut(first.groupBy("doc_id").agg(F.min(F.struct("row", "n")).alias("w")).select("doc_id", "w.*"))
+    id_, row = fresh("kept_id", docs.columns), fresh("kept_row", docs.columns)
+    gone = marked.select("doc_id", "row").join(first, ["doc_id", "row"], "left_anti").distinct()
+    again = cut(first.where("n > 1").select(F.col("doc_id").alias(id_), F.col("row").alias(row)))
+    gone = cut(gone.select(F.col("doc_id").alias(id_), F.col("row").alias(row)).unionByName(again))
+    rows = docs.withColumns({id_: F.col(id_col).cast("long"), row: text_digest(text_col)})
+    kept = rows.join(small(gone), [id_, row], "left_anti")
+    once = rows.join(small(again), [id_, row], "left_semi").dropDuplicates([id_, row])
+    return kept.unionByName(once).select(*docs.columns)
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abundara.llm.common import cut, release, text_bytes
+from abundara.llm.common import cut, discard, text_bytes
 
 _MIX, _MUL, _ADD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Bytes of text parsed at once; a longer text is parsed alone.
@@ -229,14 +229,14 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     scanned = cut(source.mapInArrow(scan, "rid long, doc_id long, row long, n_words long, whole string, anchors array<long>"))
     marked = _copies(scanned)
     wanted = _shared_anchors(scanned, marked)
-    release(docs.sparkSession)
+    discard(scanned)
     windows = cut(
         wanted.join(source, ["doc_id", "row"]).select("rid", "doc_id", "wanted", "text")
         .mapInArrow(compare, "rid long, doc_id long, at long, h1 long, h2 long")
     )
-    release(docs.sparkSession)
+    discard(wanted)
     removed = _repeats(windows, marked)
-    release(docs.sparkSession)
+    discard(windows)
     cleaned = cut(
         removed.join(source, ["doc_id", "row"]).select("rid", "removed", "text")
         .mapInArrow(keep, "rid long, gone long, digest string, removed array<long>").dropDuplicates(["rid"])
@@ -254,7 +254,7 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
 def _copies(scanned: DataFrame) -> DataFrame:
     """The rows without their anchors, marking those whose words all stand in a row of smaller id."""
-    earliest = scanned.groupBy("whole").agg(F.min("doc_id").alias("first_id"))
+    earliest = cut(scanned.groupBy("whole").agg(F.min("doc_id").alias("first_id")))  # written: a hot text's rows can be split
     rows = scanned.drop("anchors").join(earliest, "whole")
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)).alias("copy")
     return cut(rows.select("rid", "doc_id", "row", "n_words", "whole", copy))
@@ -265,7 +265,6 @@ def _shared_anchors(scanned: DataFrame, marked: DataFrame) -> DataFrame:
     placed = scanned.where("doc_id is not null").select("rid", F.explode("anchors").alias("anchor"))
     shared = placed.groupBy("anchor").agg(F.count("*").alias("rows")).where("rows > 1").select("anchor")  # a row has an anchor once
     shared = cut(shared)  # both sides of the join are then plain exchanges, which adaptive execution can split
-    release(scanned.sparkSession)
     lists = placed.join(shared, "anchor").groupBy("rid").agg(F.collect_list("anchor").alias("wanted"))
     rows = marked.where("not copy").select("rid", "doc_id", "row")
     return cut(lists.join(rows, "rid").select("rid", "doc_id", "row", "wanted"))
@@ -275,7 +274,6 @@ def _repeats(windows: DataFrame, marked: DataFrame) -> DataFrame:
     """(rid, doc_id, row, removed): starts of the windows that a row of smaller id holds too."""
     least = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.count("*").alias("rows")).where("rows > 1").select("h1", "h2", "lo")
     least = cut(least)
-    release(windows.sparkSession)
     repeats = windows.join(least, ["h1", "h2"]).where("doc_id > lo").select("rid", "at")
     lists = repeats.groupBy("rid").agg(F.sort_array(F.collect_set("at")).alias("removed"))
     return cut(lists.join(marked.select("rid", "doc_id", "row"), "rid").select("rid", "doc_id", "row", "removed"))

@@ -118,3 +118,26 @@ def test_keep_first(spark):
     rows = [(1, "a b c d e", "en", "s"), (2, "a b c d e", "en", "s"), (2, "a b c d e", "en", "s"), (3, "q r s t", "en", "s"), (3, "q r s t", "en", "s"), (None, "a b c d e", "en", "s")]
     kept = keep_first(spark.createDataFrame(rows, DOCS))
     assert sorted((str(r.doc_id) for r in kept.collect())) == ["1", "3", "None"] and kept.columns == ["doc_id", "text", "lang", "fp"]
+
+
+def test_keep_first_by_row(spark):
+    """An id that comes first for one text may not keep its other rows; exact repeats stay once, rows without an id all."""
+    a, b = "one two three four five six seven", "red green blue black white pink grey"
+    rows = [(3, b, "en", "s"), (5, a, "en", "s"), (5, b, "en", "s"), (5, a, "en", "s"), (None, a, "en", "s"), (None, a, "en", "s")]
+    kept = sorted(((r.doc_id, r.text) for r in keep_first(spark.createDataFrame(rows, DOCS)).collect()), key=str)
+    assert kept == sorted([(3, b), (5, a), (None, a), (None, a)], key=str)
+    clashing = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 AS kept_id", "2 AS component_id", "3 AS row", "4 AS n")
+    assert keep_first(clashing).columns == clashing.columns and keep_first(clashing).count() == 4
+
+
+def test_hub_of_a_component(spark):
+    """One root with most of the links: the same components, and no round is given up silently."""
+    import pytest
+
+    from abundara.llm.graph import connected
+
+    star = spark.range(1, 4000).selectExpr("id AS a", "0L AS b").unionByName(spark.range(5000, 5100).selectExpr("id AS a", "id + 1 AS b"))
+    got = {r.node: r.root for r in connected(star).collect()}
+    assert got == {n: 0 for n in range(4000)} | {n: 5000 for n in range(5000, 5101)}
+    with pytest.raises(RuntimeError):
+        connected(star, max_rounds=1)

@@ -51,6 +51,24 @@ def test_against_every_pair(spark):
     assert got == brute(rows)
 
 
+def test_crowded_buckets_are_split_without_losing_links(spark):
+    rnd = random.Random(3)
+    vocab = [f"v{i}" for i in range(400)]
+    roots = [rnd.choices(vocab, k=120) for _ in range(3)]
+    rows = []
+    for i in range(240):  # chains: each copy changes a word or two of the one before, so ends of a chain are far apart
+        words = list(roots[i % 3])
+        for _ in range(rnd.choice([1, 1, 2])):
+            words[rnd.randrange(120)] = rnd.choice(vocab)
+        if i % 4 == 0:
+            roots[i % 3] = words
+        rows.append((i, " ".join(words), "en", "s"))
+    docs = spark.createDataFrame(rows, DOCS)
+    want = brute(rows)
+    assert sorted(((r.doc_id, r.component_id) for r in similar(docs, hot=8, rounds=2).collect()), key=str) == want
+    assert sorted(((r.doc_id, r.component_id) for r in similar(docs).collect()), key=str) == want
+
+
 def test_spanning_links_of_a_crowded_bucket():
     rows = [r for r in corpus(9, 300) if len((r[1] or "").split()) > 80]
     sets = list({shingle_set(r[1].encode()).tobytes(): shingle_set(r[1].encode()) for r in rows}.values())
