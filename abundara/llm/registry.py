@@ -57,8 +57,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     said = "</s>[INST] ok [/INST]"
     probe = spark.sql(f"SELECT -1L AS conv_id, posexplode(array('user', 'assistant')) AS (turn, role), '{said}' AS text")
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return digests(format_turns(rows.unionByName(probe)))
+    return digests(format_turns(table(spark, sf_dir, "conversations").unionByName(probe, allowMissingColumns=True)))
 
 
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
