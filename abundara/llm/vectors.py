@@ -12,8 +12,11 @@ cut into blocks and their queries into groups, so no task holds a whole hot list
 block returns its few best for each query and a grouped top-k joins them.
 
 Defined results: null, zero and non-finite vectors (also with a null component) and rows
-with a null id take no part; repeated rows are candidates each; fewer candidates than ``k``
-are all returned; extra columns are ignored; an empty table gives an empty result.
+with a null id take no part; vectors are compared with those of their own length; repeated
+rows are candidates each, but no row of the query's own id is one of its candidates; rows
+repeated with one id and vector ask once, an id with several vectors has ranks from 1 for
+each; fewer candidates than ``k`` are all returned; extra columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -103,24 +106,45 @@ def scan(queries: np.ndarray, rows: np.ndarray, k: int, columns: int, slack: flo
     return i[stay], j[stay]
 
 
-def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5, lists: int | None = None, aim: float = 0.97, probes: int | None = None, sample: int = 20_000, columns: int = 16, slack: float = 2.1, block: int = 2048) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest by cosine of each row whose id is divisible by ``every``."""
+def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", max_dims: int = 64, **options) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest by cosine of each row whose id is divisible by ``every``, see ``nearest_of``.
+
+    Vectors of different lengths have no cosine: each length is searched by itself.  More than
+    ``max_dims`` lengths in one table are an error, not a loss.
+    """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where("vec_id is not null and v is not null")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.coalesce(finite, F.lit(False)) & (F.size("v") > 0)).withColumn("norm", F.sqrt(norm)).where("norm > 0 and norm < double('Infinity')")
     rows = cut(rows)
-    sizes = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    if sizes is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, total = sizes
-    rows = rows.where(F.size("v") == dim)
-    lot = rows.select("v", "norm", F.xxhash64("vec_id").alias("lot")).orderBy("lot").limit(sample).select("v", "norm").collect()
+    sizes = rows.groupBy(F.size("v").alias("dim")).count().orderBy("dim").limit(max_dims + 1).collect()
+    if len(sizes) > max_dims:
+        raise ValueError(f"more than {max_dims} vector lengths in one table")
+    found = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for number, (dim, total) in enumerate(sizes):
+        one = nearest_of(rows.where(F.size("v") == dim), dim, total, **options)
+        found = found.unionByName(one) if number else one
+    return found
+
+
+def nearest_of(rows: DataFrame, dim: int, total: int, *, every: int = 50, k: int = 5, lists: int | None = None, aim: float = 0.97, probes: int | None = None, sample: int | None = None, columns: int = 16, slack: float = 2.1, block: int = 2048) -> DataFrame:
+    """The search among ``total`` vectors of one length (vec_id, v, norm).
+
+    There are about the root of ``total`` lists, so a list and a query's work grow with the root
+    too.  Lists are fitted on ``sample`` vectors: 16 a list, at least 20,000, at most 64 MB of
+    them; beyond that bound (a million lists at 16 components, 20,000 at 768) lists are longer.
+    """
+    spark = rows.sparkSession
+    wanted = lists or int(np.sqrt(total)) + 1
+    sample = sample or min(max(20_000, 16 * wanted), max(20_000, (64 << 20) // (4 * dim)))
+    lot = rows.select("v", "norm", F.xxhash64("vec_id").alias("lot")).orderBy("lot").limit(sample)
+    lot = lot.select(F.transform("v", lambda x: (x / F.col("norm")).cast("float")).alias("unit")).toArrow()
     turn = rotation(dim)
-    unit = np.array([r.v for r in lot]) / np.array([r.norm for r in lot])[:, None]
-    middle = centroids(unit @ turn, min(lists or int(np.sqrt(total)) + 1, 65_536, max(1, len(lot) // 8)))
-    probes = probes or probes_needed(unit @ turn, middle, k, aim)
+    unit = lot.column("unit").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) @ turn.astype(np.float32)
+    middle = centroids(unit, min(wanted, max(1, len(unit) // 8)))
+    probes = probes or probes_needed(unit, middle, k, aim)
+    del lot, unit
 
     def unit_rows(batch):
         v = batch.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
@@ -132,10 +156,10 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
                 own = np.concatenate([(x @ middle.T).argmax(1) for x in np.array_split(unit_rows(pa.Table.from_batches([batch])), batch.num_rows // 2048 + 1)])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32))], [*batch.schema.names, "list"])
 
-    # equal vectors: the k + 1 smallest ids stand for all
-    same = Window.partitionBy("v").orderBy("vec_id")
-    firsts = rows.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1)
-    kinds = firsts.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.max("norm").alias("norm"))
+    # equal vectors: the k + 1 smallest ids, each with up to k of its rows, stand for all
+    per_id = rows.groupBy("v", "vec_id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"), F.max("norm").alias("norm"))
+    firsts = per_id.withColumn("nth", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("nth") <= k + 1)
+    kinds = firsts.groupBy("v").agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat("vec_id", F.col("n"))))).alias("ids"), F.max("norm").alias("norm"))
     indexed = cut(kinds.mapInArrow(assign, "v array<double>, ids array<long>, norm double, list int"))
     counts = {r["list"]: r["count"] for r in indexed.groupBy("list").count().collect()}  # at most 65,536 rows
     held = np.array([counts.get(c, 0) for c in range(len(middle))])
@@ -158,7 +182,8 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
             take = pa.array(np.concatenate(row))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take), pa.array(np.concatenate(where).astype(np.int32))], ["query_id", "v", "norm", "list"])
 
-    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v", "norm")
+    # rows of one id and one vector ask once; one id with several vectors asks once for each
+    asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"]).select(F.col("vec_id").alias("query_id"), "v", "norm")
     asked = cut(asked.mapInArrow(probe, "query_id long, v array<double>, norm double, list int"))
     per_list = {r["list"]: r["count"] for r in asked.groupBy("list").count().collect()}
     groups = np.maximum(1, -(-np.array([per_list.get(c, 0) for c in range(len(middle))]) // block))
@@ -166,10 +191,10 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     left = indexed.join(spread, "list").select(
         "list", F.pmod(F.xxhash64("ids"), "blocks").alias("part"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("crowd"), "v", "ids", "norm")
     right = asked.join(spread, "list").select(
-        "list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("part"), F.pmod(F.xxhash64("query_id"), "groups").cast("int").alias("crowd"), "query_id", "v", "norm")
+        "list", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("part"), F.pmod(F.xxhash64("query_id"), "groups").cast("int").alias("crowd"), "query_id", F.xxhash64("v").alias("which"), "v", "norm")
 
     def compare(rows_: pd.DataFrame, asked_: pd.DataFrame) -> pd.DataFrame:
-        out: tuple[list, list, list] = ([], [], [])
+        out: tuple[list, list, list, list] = ([], [], [], [])
         if len(rows_) and len(asked_):
             x, q = np.stack(rows_["v"].to_numpy()), np.stack(asked_["v"].to_numpy())
             nx, nq = rows_["norm"].to_numpy(), asked_["norm"].to_numpy()
@@ -177,7 +202,7 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
             ids = rows_["ids"].to_numpy()
             pair_q, pair_x = scan(tq, tx, k + 1, columns, slack)
             edges = np.searchsorted(pair_q, np.arange(len(q) + 1))
-            for n, query in enumerate(asked_["query_id"].to_numpy()):
+            for n, (query, which) in enumerate(zip(asked_["query_id"].to_numpy(), asked_["which"].to_numpy(), strict=True)):
                 some = pair_x[edges[n] : edges[n + 1]]
                 score = (x[some] * q[n]).sum(1) / (nx[some] * nq[n])
                 floor = np.sort(score)[-(k + 1)] if len(score) > k else -2.0
@@ -186,9 +211,10 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
                     out[0].append(query)
                     out[1].append(i)
                     out[2].append(-s)
-        return pd.DataFrame({"query_id": np.array(out[0], np.int64), "vec_id": np.array(out[1], np.int64), "score": np.array(out[2], np.float64)})
+                    out[3].append(which)
+        return pd.DataFrame({"query_id": np.array(out[0], np.int64), "vec_id": np.array(out[1], np.int64), "score": np.array(out[2], np.float64), "which": np.array(out[3], np.int64)})
 
     key = ["list", "part", "crowd"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double, which long")
+    order = Window.partitionBy("query_id", "which").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -49,3 +49,28 @@ def test_few_and_none(spark):
     got = nearest(spark.createDataFrame(rows, TABLE), every=50).collect()
     assert [(r.query_id, r.rank, r.vec_id) for r in got] == [(0, 1, 1), (0, 2, 2)]
     assert nearest(spark.createDataFrame([], TABLE)).count() == 0
+
+
+def test_repeated_queries_and_lengths(spark):
+    rows = make(2, 300)
+    extra = [(50, rows[50][1], 0, ""), (110, rows[110][1], 0, "")] * 7 + [(100, rows[7][1], 0, "")]
+    rows += extra + [(1000, [1.0, 2.0], 0, ""), (1001, [2.0, 1.0], 0, ""), (1003, [1.0, 2.1], 0, ""), (1050, [1.0], 0, "")]
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, TABLE), every=50, probes=1000).orderBy("query_id", "rank", "vec_id").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    one = {}
+    for r in nearest(spark.createDataFrame([r for r in rows if len(r[1]) == 16][:300], TABLE), every=50, probes=1000).collect():
+        one.setdefault(r.query_id, []).append(r.vec_id)
+    assert [n for n, _ in got[50]] == [1, 2, 3, 4, 5] and 50 not in [i for _, i in got[50]]
+    assert len(got[100]) == 10  # one id asking with two vectors
+    assert got[1000] == [(1, 1003), (2, 1001)] and 1050 not in got
+    near = brute([r for r in rows if len(r[1]) == 16], 50)
+    assert [i for _, i in got[50]] == [i for _, i in near[50]] and [i for _, i in got[0]] == [i for _, i in near[0]]
+
+
+def test_equal_vectors_of_one_id(spark):
+    rows = [(50, [1.0, 0.5], 0, "")] * 9 + [(60 + i, [1.0, 0.5], 0, "") for i in range(8)]
+    got = nearest(spark.createDataFrame(rows, TABLE), every=50).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [60, 61, 62, 63, 64]
+    got = nearest(spark.createDataFrame([*rows, (0, [1.0, 0.5], 0, "")], TABLE), every=100).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [50] * 5
