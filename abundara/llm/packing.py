@@ -1,13 +1,17 @@
 """Hierarchical multi-length packing.
 
-Documents are tokenised and cut into whole windows plus a remainder.  The remainder is
-routed to the context tier (a power of two) it fits, long windows are filled from the
-remainders of shorter tiers, and what is left is laid end to end and closed by ever
-shorter tiers.  Sequences are then dealt to step groups of near-equal attention cost.
+Documents are tokenised and cut into whole windows plus a remainder, and the remainder is
+routed to the smallest context tier that holds it.  Tiers are packed one by one from the
+longest: a tier's document opens a window of the tier's size, and the window's gap is filled
+from documents of shorter tiers, by one or two that fit exactly if there are such, else by
+the largest that fit; documents of the shortest tier fill each other's windows.  Windows left
+with a gap are laid end to end and cut, and the last part of a window goes on to the next
+tier; after the shortest tier it closes in powers of two, so nothing is padded.  Sequences
+are then dealt to step groups of near-equal attention cost.
 
 Every task packs what it reads, in blocks of bounded size: no shuffle, no driver state,
 memory bounded by ``block_tokens`` plus one document, and a lost task is simply rerun.
-The price is at most one padded sequence a task and block.
+The price is a few short closing sequences a task and block.
 
 Defined results: a null or empty text is one piece holding only the end id; a null id is
 kept as null; repeated rows are packed once each; other columns are ignored; an empty
@@ -17,11 +21,11 @@ table gives an empty result.
 from __future__ import annotations
 
 import array
-import bisect
 import json
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -86,53 +90,88 @@ class ChunkEncoder(dict):
         return head + b"".join(map(self.__getitem__, rest.split(" "))) if _ else head
 
 
-def plan(lengths: list[int], window: int, tiers: tuple[int, ...]) -> list[tuple[list[tuple[int, int, int]], int]]:
-    """Pieces (document, start, length) of each sequence, and the sequence's tier."""
+class Shelf:
+    """Pieces (document, start) by their length, shorter than ``size``."""
+
+    def __init__(self, size: int):
+        self.pieces: list[list[tuple[int, int]]] = [[] for _ in range(size)]
+        self.some = np.zeros(size, bool)
+
+    def put(self, n: int, piece: tuple[int, int]) -> None:
+        self.pieces[n].append(piece)
+        self.some[n] = True
+
+    def take(self, n: int) -> tuple[int, int, int]:
+        d, at = self.pieces[n].pop()
+        self.some[n] = bool(self.pieces[n])
+        return d, at, n
+
+    def largest(self, most: int) -> int:
+        """The longest piece of at most ``most``, 0 if there is none."""
+        found = np.flatnonzero(self.some[: most + 1])
+        return int(found[-1]) if len(found) else 0
+
+    def fit(self, gap: int) -> int:
+        """The piece to put into a gap: the whole of it, or one whose other part is there too, or the largest."""
+        if gap < len(self.some) and self.some[gap]:
+            return gap
+        most = min(gap, len(self.some)) - 1
+        first = self.some[gap - most : most + 1] if most >= gap - most > 0 else self.some[:0]
+        both = np.flatnonzero(first & first[::-1])  # lengths m with a piece of m and one of gap - m
+        for k in both[::-1].tolist():
+            m = gap - most + k
+            if 2 * m != gap or len(self.pieces[m]) > 1:
+                return m
+        return self.largest(gap)
+
+
+def plan(lengths: list[int], window: int, tiers: tuple[int, ...], closing: tuple[int, ...] = ()) -> list[tuple[list[tuple[int, int, int]], int]]:
+    """Pieces (document, start, length) of each sequence, and the sequence's tier or closing size; what is left then is one padded window."""
     out: list[tuple[list[tuple[int, int, int]], int]] = []
-    rest: list[tuple[int, int, int]] = []
-    for d, n in enumerate(lengths):
+    shelf = Shelf(window)
+    for d in sorted(range(len(lengths)), key=lambda d: (lengths[d], d)):
+        n = lengths[d]
         whole = n - n % window
         out += [([(d, at, window)], window) for at in range(0, whole, window)]
         if n > whole:
-            rest.append((n - whole, d, whole))
-    shelves: dict[int, list[tuple[int, int, int]]] = {t: [] for t in tiers}
-    for piece in sorted(rest):
-        shelves[next(t for t in reversed(tiers) if piece[0] <= t)].append(piece)
-    short = sorted(p for t in tiers[1:] for p in shelves[t])
-    loose: list[list[tuple[int, int, int]]] = []
-    for n, d, at in reversed(shelves[tiers[0]]):
-        row, gap = [(d, at, n)], window - n
-        while gap and short:
-            k = bisect.bisect_right(short, (gap, 1 << 62, 0)) - 1
-            if k < 0:
-                break
-            m, e, start = short.pop(k)
-            row.append((e, start, m))
-            gap -= m
-        if gap:
-            loose.append(row)
-        else:
-            out.append((row, window))
-    line = [p for row in loose for p in row] + [(d, at, n) for n, d, at in reversed(short)]
-    left = sum(n for _, _, n in line)
-    sizes = [window] * (left // window)
-    left %= window
-    for t in tiers[1:]:
-        sizes += [t] * (left // t)
-        left %= t
-    sizes += [window] if left else []
-    k = used = 0
-    for size in sizes:
-        row, gap = [], size
-        while gap and k < len(line):
+            shelf.put(n - whole, (d, whole))
+    line: list[tuple[int, int, int]] = []  # pieces of windows that were left with a gap
+
+    def lay(size: int) -> None:
+        """Whole sequences of ``size`` from the line's start."""
+        nonlocal line
+        count, k, used = sum(n for _, _, n in line) // size, 0, 0
+        for _ in range(count):
+            row, gap = [], size
+            while gap:
+                d, at, n = line[k]
+                m = min(gap, n - used)
+                row.append((d, at + used, m))
+                gap, used = gap - m, used + m
+                if used == n:
+                    k, used = k + 1, 0
+            out.append((row, size))
+        if k < len(line) and used:
             d, at, n = line[k]
-            m = min(gap, n - used)
-            row.append((d, at + used, m))
-            gap, used = gap - m, used + m
-            if used == n:
-                k, used = k + 1, 0
-        out.append((row, size))
-    return out
+            line = [(d, at + used, n - used), *line[k + 1 :]]
+        else:
+            line = line[k:]
+
+    for number, size in enumerate(tiers):
+        shorter = tiers[number + 1] if number + 1 < len(tiers) else 0
+        while (n := shelf.largest(min(size, window - 1))) > shorter:
+            row, gap = [shelf.take(n)], size - n
+            while gap and (m := shelf.fit(gap)):
+                row.append(shelf.take(m))
+                gap -= m
+            if gap:
+                line += row
+            else:
+                out.append((row, size))
+        lay(size)
+    for size in closing:
+        lay(size)
+    return [*out, (line, window)] if line else out
 
 
 def step_groups(costs: list[int], per_step: int) -> list[int]:
@@ -152,12 +191,13 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = 2048,
-    tiers: tuple[int, ...] = (2048, 1024, 512, 256, 128, 64, 32, 16, 8, 4, 2, 1),
+    tiers: tuple[int, ...] = (2048, 1024, 512),
+    closing: tuple[int, ...] = (256, 128, 64, 32, 16, 8, 4, 2, 1),
     end_id: int = 1,
     per_step: int = 8,
     block_tokens: int = 1_000_000,
 ) -> DataFrame:
-    """One row per piece, see the module's text; ``tiers`` fall from ``window`` by powers of two."""
+    """One row per piece, see the module's text; ``tiers`` are powers of two falling from ``window``, ``closing`` those that end a block."""
     end = array.array("I", [end_id]).tobytes()
 
     def pack(batches):
@@ -169,7 +209,7 @@ def pack_documents(
         def flush():
             nonlocal seen, steps
             rows: list[list] = [[] for _ in range(9)]
-            rest = plan([len(x) // 4 for x in ids], window, tiers)
+            rest = plan([len(x) // 4 for x in ids], window, tiers, closing)
             groups = step_groups([sum(n * n for _, _, n in pieces) for pieces, _ in rest], per_step)
             for (pieces, tier), group in zip(rest, groups, strict=True):
                 at = 0
