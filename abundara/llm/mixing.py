@@ -7,7 +7,9 @@ that no source gets less than one whole pass; nothing is dropped.
 
 A source's documents are permuted by a digest of their ids and cut into blocks of about
 ``block_tokens``.  Block sums place the budget's last partial pass in one block, and only
-that block is looked into, so no source is ever ordered as a whole.
+that block is looked into, so no source is ever ordered as a whole.  Each pass permutes the
+source's blocks and, within a block, its documents: ordered by (pass_no, block_draw, draw) the
+drawn copies are a block permutation that can be read block by block.
 
 Defined results: null and empty texts hold no tokens and come along once a whole pass; a
 null source is a source of its own; a null id is placed by a fixed digest; rows with equal
@@ -95,7 +97,7 @@ def plan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sou
     # no document of the edge block fits: the pass ends with the block before
     first = (F.col("block") / F.col("blocks") * F.lit(float(TOP))).cast("long") - 1
     ends = edge.select("key", "block").join(sources.select("key", "blocks"), "key").select("key", first.alias("first")).join(last, "key", "left")
-    return sizes, small(cut(sources.join(ends.select("key", F.coalesce("last", "first").alias("last")), "key", "left").select("key", "budget", "passes", "rest", "last")))
+    return sizes, small(cut(sources.join(ends.select("key", F.coalesce("last", "first").alias("last")), "key", "left").select("key", "budget", "passes", "rest", "last", "blocks")))
 
 
 def _copies() -> Column:
@@ -104,12 +106,14 @@ def _copies() -> Column:
 
 
 def draws(docs: DataFrame, **options) -> DataFrame:
-    """One row per drawn copy: doc_id, source, tokens, pass_no (from 1), draw (a permuted order within the pass)."""
+    """One row per drawn copy: doc_id, source, tokens, pass_no (from 1), block (of the source), block_draw (the block's place in the pass) and draw (the document's place in the block)."""
     sizes, per_source = plan(docs, **options)
     rows = sizes.join(per_source, "key").withColumn("copies", _copies().cast("int"))
-    rows = rows.select("doc_id", "source", "tokens", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("pass_no"))
-    draw = _place(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.col("pass_no").cast("string")))
-    return rows.withColumn("draw", draw)
+    block = F.floor(F.col("place") / F.lit(float(TOP)) * F.col("blocks")).cast("long")
+    rows = rows.select("doc_id", "source", "tokens", "key", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("pass_no"), block.alias("block"))
+    one = F.col("pass_no").cast("string")
+    draw = _place(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), one))
+    return rows.withColumns({"block_draw": _place(F.concat_ws(":", "key", F.col("block").cast("string"), one)), "draw": draw}).drop("key")
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
@@ -139,12 +143,12 @@ WITH RECURSIVE z AS (
 ), p AS (
   SELECT key, t, CASE WHEN t > 0 THEN greatest(t, round(t * pow(t_max / t, 1 - a))::BIGINT) ELSE 0 END AS budget FROM s, a
 ), q AS (
-  SELECT key, CASE WHEN t > 0 THEN budget // t ELSE 1 END AS passes, CASE WHEN t > 0 THEN budget % t ELSE 0 END AS rest FROM p
+  SELECT key, CASE WHEN t > 0 THEN budget // t ELSE 1 END AS passes, CASE WHEN t > 0 THEN budget % t ELSE 0 END AS rest, 1 + t // 1048576 AS blocks FROM p
 ), c AS (
-  SELECT z.*, passes + CASE WHEN rest > 0 AND sum(tokens) OVER (PARTITION BY key ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest THEN 1 ELSE 0 END AS copies
+  SELECT z.*, blocks, passes + CASE WHEN rest > 0 AND sum(tokens) OVER (PARTITION BY key ORDER BY place RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= rest THEN 1 ELSE 0 END AS copies
   FROM z JOIN q USING (key)
 ), e AS (
-  SELECT doc_id, source, tokens, unnest(range(1, copies + 1)) AS pass_no FROM c
+  SELECT doc_id, source, tokens, key, floor(place / 1152921504606846976.0::DOUBLE * blocks)::BIGINT AS block, unnest(range(1, copies + 1)) AS pass_no FROM c
 )
-SELECT doc_id, source, tokens, pass_no::INTEGER AS pass_no, ('0x' || md5(coalesce(doc_id::VARCHAR, 'none') || ':' || pass_no)[1:15])::BIGINT AS draw FROM e
+SELECT doc_id, source, tokens, pass_no::INTEGER AS pass_no, block, ('0x' || md5(key || ':' || block || ':' || pass_no)[1:15])::BIGINT AS block_draw, ('0x' || md5(coalesce(doc_id::VARCHAR, 'none') || ':' || pass_no)[1:15])::BIGINT AS draw FROM e
 """

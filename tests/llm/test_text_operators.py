@@ -1,5 +1,7 @@
 """Packing, cleaning, mixing, secrets and toxicity on small tables, against plain versions."""
 
+import math
+import random
 import re
 import struct
 import zlib
@@ -54,6 +56,21 @@ def test_plan_cuts_and_fills():
     assert max(totals.values()) - min(totals.values()) <= 5
 
 
+def test_plan_packs_each_tier():
+    rnd = random.Random(1)
+    lengths = [max(1, int(rnd.lognormvariate(5.8, 1.1))) for _ in range(3000)]
+    got = plan(lengths, 2048, (2048, 1024, 512), (256, 128, 64, 32, 16, 8, 4, 2, 1))
+    of = Counter(tier for _, tier in got)
+    assert min(of[2048], of[1024], of[512]) >= 100 and sum(n for t, n in of.items() if t < 512) <= 9
+    assert all(sum(n for _, _, n in row) == tier for row, tier in got)  # nothing padded
+    for row, tier in got:  # a window is opened by its own tier's document or laid from the line
+        assert tier != 2048 or max(n for _, _, n in row) > 1024 or len(row) > 1
+    pieces = Counter(d for row, _ in got for d, _, _ in row)
+    short = [d for d, n in enumerate(lengths) if n < 2048]
+    assert sum(pieces[d] > 1 for d in short) <= 0.05 * len(short)  # few documents are cut
+    assert plan([], 2048, (2048,)) == [] and plan([3], 2048, (2048, 1024)) == [([(0, 0, 3)], 2048)]
+
+
 def test_packing_round_trip(spark):
     rows = [(n, t, "s") for n, t in enumerate(ODD)] + [(50, None, None), (3, ODD[3], "s"), (None, "no id", "s")]
     got = pack_documents(table(spark, rows), tokenizer_path(), block_tokens=3000).collect()
@@ -123,6 +140,39 @@ def test_mixing(spark, block):
     assert draws(table(spark, [])).count() == 0
 
 
+def test_blocks_are_permuted(spark):
+    rows = [(n, "w " * 5, "big") for n in range(400)] + [(1000 + n, "w " * 4, "mid") for n in range(50)]
+    got = draws(table(spark, rows), block_tokens=200).collect()
+    by = defaultdict(set)
+    for r in got:
+        assert r.block == reference_place(r.doc_id) * (11 if r.source == "big" else 2) >> 60
+        by[r.source, r.pass_no].add((r.block_draw, r.block))
+    for places in by.values():  # a block has one place a pass
+        assert len(places) == len({b for _, b in places}) == len({p for p, _ in places})
+    passes = [[b for _, b in sorted(by["mid", p])] for p in (1, 2)] + [[b for _, b in sorted(by["big", 1])]]
+    assert passes[2] != sorted(passes[2])
+
+
+@pytest.mark.parametrize("target", [0.2, 0.6, 0.9, 1.0])
+def test_target_entropy(spark, target):
+    from abundara.llm.mixing import bisect_exponent
+
+    t = [1000, 400, 60, 5]
+    sources = spark.createDataFrame([(x, max(t)) for x in [*t, 0]], "t long, t_max long")
+    a = bisect_exponent(sources, target_entropy=target)
+
+    def entropy(a):
+        w = [(x / max(t)) ** a for x in t]
+        return -sum(x / sum(w) * math.log(x / sum(w)) for x in w) / math.log(len(t))
+
+    if entropy(1) > target:
+        assert a == 1.0  # natural shares are the most uneven that the exponent gives
+    else:
+        assert entropy(a) <= target + 1e-6 and (a == 0 or entropy(a - 2**-24) > target - 1e-6)
+    with pytest.raises(ValueError):
+        bisect_exponent(sources)
+
+
 BASE = (
     ("assign", r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
     ("access", r"AKIA[A-Z0-9]+"),
