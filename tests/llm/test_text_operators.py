@@ -255,6 +255,52 @@ def test_toxicity(spark):
     assert score(table(spark, []), model).count() == 0
 
 
+def test_kernel_is_the_plain_subsequence_kernel():
+    """Word values against all triples of letters (edges included) that span at most five, written apart from the operator."""
+    import itertools
+
+    import numpy as np
+
+    from abundara.llm.toxicity import DECAY, SIDE, stream, word_values
+
+    weights = np.random.default_rng(4).normal(size=SIDE**3).astype(np.float32)
+    words = ["idiot", "a", "trash", "iixdiott", "bé", "abcdefghijkl"]
+    _, got = word_values(stream([" ".join(words)])[0], weights)
+    code = stream([" ".join(words)])[0].tolist()
+    edges = [k for k, c in enumerate(code) if c == 0]
+    for value, (a, b) in zip(got, zip(edges[:-1], edges[1:])):
+        word = code[a : b + 1]
+        total = norm = 0.0
+        for i, j, k in itertools.combinations(range(len(word)), 3):
+            if k - i <= 4:
+                w = DECAY ** (k - i - 2)
+                total += w * weights[(word[i] * SIDE + word[j]) * SIDE + word[k]]
+                norm += w * w
+        assert abs(value - total / max(norm, 1e-6) ** 0.5) < 1e-3
+
+
+def test_gapped_insults():
+    """Inserted letters: one is found in nine of ten forms, two in seven, of the words learnt; clean words with inserted letters are not."""
+    data = training()
+    model = fit([t for _, t, _ in data], [x for _, _, x in data])
+    rnd = random.Random(8)
+
+    def insert(word, n):
+        for _ in range(n):
+            at = rnd.randrange(1, len(word))
+            word = word[:at] + rnd.choice("abcdefghijklmnopqrstuvwxyz") + word[at:]
+        return word
+
+    insults = ["moron", "scumbag", "idiot", "worthless", "gralven", "gralvos"]  # those of training()
+    plain = " ".join(next(t for _, t, x in data if not x).split()[:30])
+    for n, least in ((0, 1.0), (1, 0.9), (2, 0.7)):
+        forms = [insert(w, n) for w in insults for _ in range(10)]
+        assert (model.scores([f"{plain} {w} {plain}" for w in forms]) >= 0.7).mean() >= least
+    calm = sorted({w for _, t, x in data if not x for w in t.replace(".", "").split() if len(w) > 3})[:60]
+    assert (model.scores([f"{plain} {insert(w, 1)} {plain}" for w in calm]) >= 0.7).mean() <= 0.05
+    assert (model.scores([plain] * 2) < 0.7).all()
+
+
 def test_toxicity_without_both_classes():
     assert isinstance(fit([], []), Model)
     assert fit(["a b", "c"], [False, False]).scores(["a"])[0] < 0.01
