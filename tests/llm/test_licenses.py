@@ -46,3 +46,50 @@ def test_planted_notices(spark):
 
 def test_empty_table(spark):
     assert scan_licenses(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_altered_short_notices_and_repeats(spark):
+    """Every single-word change of a short notice that leaves 0.8 of it is found, and every occurrence of a notice on following lines."""
+    rows, want, number = [], {}, 0
+    for name, text in TEMPLATES.items():
+        words = text.split()
+        if len(words) > 15:
+            continue
+        for at in range(len(words)):
+            for change in ([], ["changed"], [words[at], "added"]):
+                altered = words[:at] + change + words[at + 1 :]
+                kept = longest(words_of(text.encode()), words_of(" ".join(altered).encode()))
+                rows.append((number, "before it " + " ".join(altered) + " after it", "x"))
+                if kept >= 0.8 * len(words):
+                    want[number] = name
+                number += 1
+    rows += [(1000, "Released under the MIT License.\n" * 400, "x"), (1001, ("Licensed under CC BY-NC 4.0.\n" + "Released under MIT License.\n") * 50, "x"), (1001, "", "x")]
+    rows += [(1002, f"{TEMPLATES['MIT']}\n\n{TEMPLATES['BSD-3-Clause']}\n{TEMPLATES['MIT']}", "x"), (1003, "word " * 300_000 + TEMPLATES["ISC"], "x")]
+    got = {}
+    for r in scan_licenses(spark.createDataFrame(rows, DOCS)).orderBy("doc_id", "start_word").collect():
+        got.setdefault(r.doc_id, []).append((r.license, r.start_word))
+    missed = {n: (rows[n][1], name) for n, name in want.items() if name not in [x for x, _ in got.get(n, [])]}
+    assert not missed
+    assert got[1000] == [("MIT-notice", 5 * k) for k in range(400)]
+    assert [x for x, _ in got[1001]] == ["CC-BY-NC-4.0-notice", "MIT-notice"] * 50
+    assert [x for x, _ in got[1002]] == ["MIT", "BSD-3-Clause", "MIT"] and got[1003] == [("ISC", 300_000)]
+
+
+def test_no_candidate_is_lost(spark):
+    """Every template aligned with every text in full: what reaches the coverage and shares a run of the index with it is found."""
+    rnd = random.Random(6)
+    rows, want = [], {}
+    for n in range(120):
+        name = rnd.choice(list(TEMPLATES))
+        words = TEMPLATES[name].split()
+        for _ in range(rnd.randrange(0, max(1, len(words) // 12) + 1)):
+            words[rnd.randrange(len(words))] = rnd.choice(["x", "y", "the"])
+        rows.append((n, " ".join([*(f"v{rnd.randrange(99)}" for _ in range(20)), *words, *(f"v{rnd.randrange(99)}" for _ in range(20))]), "x"))
+        text = words_of(rows[-1][1].encode())
+        score = {k: longest(words_of(t.encode()), text) for k, t in TEMPLATES.items()}
+        best = max((v for k, v in score.items() if v >= 0.8 * len(TEMPLATES[k].split())), default=0)
+        want[n] = {k for k, v in score.items() if best and v == best and v >= 0.8 * len(TEMPLATES[k].split())}
+    got = {}
+    for r in scan_licenses(spark.createDataFrame(rows, DOCS)).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert all(not want[n] or got.get(n, set()) & want[n] for n in range(120)), [(n, want[n], got.get(n)) for n in range(120) if want[n] and not got.get(n, set()) & want[n]][:3]
