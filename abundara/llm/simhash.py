@@ -190,7 +190,7 @@ def fingerprint_links(classes: DataFrame, bits: int = 2, hot: int = 2000) -> Dat
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, bits: int = 2, hot: int = 2000) -> DataFrame:
-    """One row per input row: doc_id, row (digest of the text), fp (long), component_id (smallest id reachable over links of <= ``bits``).
+    """One row per input row: doc_id, row (digest of the text), fp (long), root (one fingerprint of the component), component_id (smallest id reachable over links of <= ``bits``).
 
     Null and empty texts have fingerprint zero and link like any other.  Rows with a null
     id get their component's id (null if no row of it has one).  Repeated rows give
@@ -201,9 +201,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     nodes = cut(connected(fingerprint_links(classes.select("fp"), bits, hot)))
     rooted = cut(classes.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
     least = cut(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    components = cut(rooted.join(least, "root").select("fp", "component_id"))
+    components = cut(rooted.join(least, "root").select("fp", "root", "component_id"))
     discard(classes, nodes, rooted, least)
-    return marked.join(components, "fp").select("doc_id", "row", "fp", "component_id")
+    return marked.join(components, "fp").select("doc_id", "row", "fp", "root", "component_id")
 
 
 def small(df: DataFrame, rows: int = 250_000) -> DataFrame:
@@ -212,15 +212,15 @@ def small(df: DataFrame, rows: int = 250_000) -> DataFrame:
 
 
 def keep_roots(docs: DataFrame, marked: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with one row of each component of ``marked`` (doc_id, row, component_id): that of the smallest id.
+    """``docs`` with one row of each component of ``marked`` (doc_id, row, root, component_id): that of the smallest id.
 
     Of rows that share the smallest id the one whose text has the least digest stays, and of
     that one's exact repeats one.  Rows without an id stay.  Where the rows to drop are few
     enough to be broadcast, no text is shuffled.
     """
-    marked = cut(marked.where("doc_id is not null").select("doc_id", "row", "component_id"))
-    first = marked.where("doc_id = component_id").groupBy("doc_id", "row").agg(F.count("*").alias("n"))
-    first = cut(first.groupBy("doc_id").agg(F.min(F.struct("row", "n")).alias("w")).select("doc_id", "w.*"))
+    marked = cut(marked.where("doc_id is not null").select("doc_id", "row", "root", "component_id"))
+    first = marked.where("doc_id = component_id").groupBy("root", "doc_id", "row").agg(F.count("*").alias("n"))
+    first = cut(first.groupBy("root", "doc_id").agg(F.min(F.struct("row", "n")).alias("w")).select("doc_id", "w.*"))
     id_, row = fresh("kept_id", docs.columns), fresh("kept_row", docs.columns)
     gone = marked.select("doc_id", "row").join(first, ["doc_id", "row"], "left_anti").distinct()
     again = cut(first.where("n > 1").select(F.col("doc_id").alias(id_), F.col("row").alias(row)))
