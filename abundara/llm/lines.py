@@ -24,16 +24,22 @@ NAVIGATION = r"[|»›>•·][^|»›>•·]*[|»›>•·]"
 BOILERPLATE = r"(?i)(lorem ipsum|javascript|cookie policy|privacy policy|terms of (use|service)|all rights reserved|click here|sign up|log in|read more|subscribe)"
 
 
-def line_fails(line: Column, max_symbols_a_word: float = 0.3, max_upper: float = 0.6) -> Column:
-    """Whether a line breaks a rule: no sentence end, a menu, stock phrases, mostly symbols or mostly capitals."""
-    n = F.regexp_count(line, F.lit(WORD))
+#: A text without two capitals in a row, other signs between them aside, has no line that is mostly capitals.
+CAPITALS = r"[A-Z][^A-Za-z]*[A-Z]"
+
+
+def line_fails(line: Column, menu: Column, phrase: Column, symbols: Column, capitals: Column, max_symbols_a_word: float = 0.3, max_upper: float = 0.6) -> Column:
+    """Whether a line breaks a rule: no sentence end, a menu, stock phrases, mostly symbols or mostly capitals.
+
+    The four booleans say of the whole text whether any line can break the rule, so that it is tried only there.
+    """
     letters = F.regexp_count(line, F.lit(r"[A-Za-z]"))
     return (
         ~line.rlike(SENTENCE_END)
-        | line.rlike(NAVIGATION)
-        | line.rlike(BOILERPLATE)
-        | (F.regexp_count(line, F.lit(SYMBOLS)) > max_symbols_a_word * n)
-        | ((letters >= 20) & (F.regexp_count(line, F.lit(r"[A-Z]")) > max_upper * letters))
+        | (menu & line.rlike(NAVIGATION))
+        | (phrase & line.rlike(BOILERPLATE))
+        | (symbols & (F.regexp_count(line, F.lit(SYMBOLS)) > max_symbols_a_word * F.regexp_count(line, F.lit(WORD))))
+        | (capitals & line.rlike(CAPITALS) & (letters >= 20) & (F.regexp_count(line, F.lit(r"[A-Z]")) > max_upper * letters))
     )
 
 
@@ -46,44 +52,50 @@ def clean_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         F.filter(F.split("text", BLANK), lambda w: w != "").alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)).alias("lines"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        F.col("text").rlike(NAVIGATION).alias("menu"), F.col("text").rlike(BOILERPLATE).alias("phrase"), F.col("text").rlike(CAPITALS).alias("capitals"),
     )
+    def turned(h: Column, by: int) -> Column:
+        return F.shiftleft(h, by).bitwiseOR(F.shiftrightunsigned(h, 64 - by))
+
+    # a window of three words is 64 bits mixed of theirs; equal ones are compared word by word before they count as repeats
     rows = rows.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(
-            F.size("words") >= 3,
-            F.transform(
-                F.sequence(F.lit(0), F.size("words") - 3),
-                lambda i: F.concat(F.get("words", i), F.lit(" "), F.get("words", i + 1), F.lit(" "), F.get("words", i + 2)),
-            ),
-        ).otherwise(F.array().cast("array<string>")).alias("windows"),
-        F.transform("lines", lambda x: F.struct(x.alias("line"), F.regexp_count(x, F.lit(WORD)).alias("n"), line_fails(x).alias("fails"))).alias("lines"),
+        "words",
+        F.transform("words", lambda w: F.xxhash64(w)).alias("marks"),
+        F.transform("lines", lambda x: F.struct(x.alias("line"), line_fails(x, F.col("menu"), F.col("phrase"), F.col("n_symbols") > 0, F.col("capitals")).alias("fails"))).alias("lines"),
     )
+    window = lambda i: F.get("marks", i).bitwiseXOR(turned(F.get("marks", i + 1), 21)).bitwiseXOR(turned(F.get("marks", i + 2), 42))
+    rows = rows.withColumn(
+        "windows", F.when(F.size("words") >= 3, F.transform(F.sequence(F.lit(0), F.size("words") - 3), window)).otherwise(F.array().cast("array<bigint>"))
+    ).drop("marks")
     rows = rows.withColumn("unique", F.size(F.array_distinct("windows")) == F.size("windows"))
     rows = rows.withColumn(
         "sorted",
-        F.when(F.col("unique"), F.array().cast("array<struct<w:string,i:int>>")).otherwise(
+        F.when(F.col("unique"), F.array().cast("array<struct<w:bigint,i:int>>")).otherwise(
             F.sort_array(F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
         ),
     ).drop("windows", "unique")
+
+    def same(x: Column, y: Column) -> Column:
+        words = lambda k: F.get("words", x["i"] + k) == F.get("words", y["i"] + k)
+        return (x["w"] == y["w"]) & words(0) & words(1) & words(2)
+
     twice = F.filter(
-        F.transform(
-            "sorted",
-            lambda x, k: F.when((F.get("sorted", k - 1)["w"] == x["w"]) | (F.get("sorted", k + 1)["w"] == x["w"]), x["i"]),
-        ),
+        F.transform("sorted", lambda x, k: F.when(same(x, F.get("sorted", k - 1)) | same(x, F.get("sorted", k + 1)), x["i"])),
         lambda i: i.isNotNull(),
     )
     covered = F.array_distinct(F.flatten(F.transform(twice, lambda i: F.array(i, i + 1, i + 2))))
-    rows = rows.withColumn("n_repeat_words", F.size(covered).cast("long")).drop("sorted")
+    rows = rows.withColumn("n_repeat_words", F.size(covered).cast("long")).drop("sorted", "words")
     failed = F.filter("lines", lambda x: x["fails"])
     rows = rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
         F.size(failed).cast("long").alias("lines_removed"),
-        F.aggregate(failed, F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("words_removed"),
+        F.aggregate(failed, F.lit(0).cast("long"), lambda a, x: a + F.regexp_count(x["line"], F.lit(WORD))).alias("words_removed"),
         F.array_join(F.transform(F.filter("lines", lambda x: ~x["fails"]), lambda x: x["line"]), "\n").alias("clean_text"),
     )
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("words_removed") <= max_loss * F.col("n_words")))
