@@ -88,18 +88,52 @@ def nearest_multiple(x: Column, step: float) -> Column:
 
 
 def read_stem(header: Column) -> Column:
-    """A FASTQ header without mate suffix, spaces joined; new-style headers lose their fourth field on.  Filtered reads: null."""
-    clean = F.regexp_replace(F.regexp_replace(header, "/[12]$", ""), " ", "_")
-    parts = F.split(header, "[: ]")
-    new = F.size(parts) == 11
-    old = F.size(parts).isin(6, 7) & header.contains(":")
+    """A FASTQ header without its mate, the same for both mates; null for reads to drop.
+
+    A slash before the last character ends the stem.  Headers of eleven fields (split at colons
+    and spaces) have their mate field set to 0; they are dropped if marked as filtered, or if
+    their mate is neither 1 nor 2.  Headers of six or seven fields keep the first and the third
+    to sixth.  Others stay; spaces become underscores.
+    """
+    parts = F.split(header, "[: ]", -1)
+    part = lambda n: F.get(parts, F.lit(n))
+    slash = F.locate("/", header) == F.length(header) - 1
+    long_ = F.concat_ws(":", F.slice(parts, 1, 7), F.lit("0"), F.slice(parts, 9, 3))
     return (
-        F.when(new & (F.get(parts, F.lit(8)) == "Y"), F.lit(None).cast("string"))
-        .when(new, F.concat(F.concat_ws(":", F.get(parts, F.lit(0)), F.get(parts, F.lit(2)), F.get(parts, F.lit(3)), F.get(parts, F.lit(4)), F.get(parts, F.lit(5))), F.lit("#0")))
-        .when(old, clean).otherwise(clean)
+        F.when(slash, F.replace(F.substring(header, F.lit(1), F.length(header) - 2), F.lit(" "), F.lit("_")))
+        .when(F.size(parts) == 11, F.when((part(8) != "Y") & part(7).isin("1", "2"), long_))
+        .when(F.size(parts).isin(6, 7), F.concat(F.concat_ws(":", part(0), part(2), part(3), part(4), part(5)), F.lit("#0")))
+        .otherwise(F.replace(header, F.lit(" "), F.lit("_")))
     )
 
 
+def optional_tag(fields: Column, tag: str, first: int | None = None, last: int | None = None) -> Column:
+    """Absolute value of an optional KEY:TYPE:VALUE field of a line's cells, looked for in the columns ``first`` to ``last`` (from 0) only."""
+    some = fields if first is None else F.slice(fields, F.lit(first + 1), F.lit(last - first + 1))
+    found = F.filter(some, lambda f: f.startswith(f"{tag}:"))
+    return F.abs(F.element_at(F.split(F.get(found, F.lit(0)), ":", 3), 3).cast("double"))
+
+
+def log_shift(x: Column, shift: float) -> Column:
+    """Logarithm to base 10 with a pseudocount."""
+    return F.log10(x + shift)
+
+
+def arcsine_root(x: Column) -> Column:
+    return F.asin(F.sqrt(x))
+
+
+def cell_set(cell: Column, outer: str = "[|]", inner: str | None = None) -> Column:
+    """The distinct values of a multi-value cell, sorted; with ``inner`` each value's own parts as a list (sub-columns)."""
+    values = F.array_sort(F.array_distinct(F.filter(F.split(cell, outer), lambda v: v != "")))
+    return values if inner is None else F.transform(values, lambda v: F.split(v, inner))
+
+
+def joined_cells(cells: Column, sep: str = "|") -> Column:
+    """Multi-value cells of a group as one: the sorted set of all their values."""
+    return F.concat_ws(sep, F.array_sort(F.array_distinct(F.flatten(F.collect_list(cells)))))
+
+
 def scaftigs(name: Column, sequence: Column, least: int) -> Column:
     """Maximal runs of bases of at least ``least``, numbered among those kept."""
     runs = F.filter(F.regexp_extract_all(sequence, F.lit("[ATGCatgc]+"), F.lit(0)), lambda s: F.length(s) >= least)
@@ -153,6 +187,7 @@ def trim_longest(quality: Column, sequence: Column, *, offset: int, least_qualit
 
 def codon_table() -> dict[str, str]:
     """The standard genetic code, from its usual one-line form in TCAG order."""
+    # Fixed value: the amino acids of the standard genetic code.
     amino = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
     return {a + b + c: amino[16 * i + 4 * j + k] for i, a in enumerate("TCAG") for j, b in enumerate("TCAG") for k, c in enumerate("TCAG")}
 
@@ -160,9 +195,7 @@ def codon_table() -> dict[str, str]:
 def translate_codons(sequence: Column) -> Column:
     """Amino acids of a coding sequence, X where a codon is unknown."""
     table = F.create_map(*[F.lit(x) for pair in codon_table().items() for x in pair])
-    n = F.floor(F.length(sequence) / 3).cast("int")
-    codons = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.upper(F.substring(sequence, i * 3 + 1, F.lit(3)))))
-    return F.array_join(F.transform(codons, lambda c: F.coalesce(F.element_at(table, c), F.lit("X"))), "")
+    return F.array_join(F.transform(codons(sequence), lambda c: F.coalesce(F.element_at(table, c), F.lit("X"))), "")
 
 
 def synonymous_sites(codon: str) -> float:
@@ -171,6 +204,51 @@ def synonymous_sites(codon: str) -> float:
     return sum(table[codon[:i] + b + codon[i + 1 :]] == table[codon] for i in range(3) for b in "ACGT" if b != codon[i]) / 3
 
 
+def codons(sequence: Column) -> Column:
+    """Whole codons of a coding sequence in capitals; a rest of one or two bases is left out."""
+    n = F.floor(F.length(sequence) / 3).cast("int")
+    empty = F.array().cast("array<string>")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.upper(F.substring(sequence, i * 3 + 1, F.lit(3))))).otherwise(empty)
+
+
+def synonymous(first: Column, second: Column) -> Column:
+    """Whether two codons stand for one amino acid; null if either is unknown."""
+    table = F.create_map(*[F.lit(x) for pair in codon_table().items() for x in pair])
+    return F.element_at(table, first) == F.element_at(table, second)
+
+
+def site_counts(sequence: Column) -> tuple[Column, Column]:
+    """Synonymous and non-synonymous sites of a coding sequence; unknown codons count as neither."""
+    table = F.create_map(*[F.lit(x) for codon in codon_table() for x in (codon, synonymous_sites(codon))])
+    known = F.filter(F.transform(codons(sequence), lambda c: F.element_at(table, c)), lambda x: x.isNotNull())
+    same = F.aggregate(known, F.lit(0.0), lambda a, x: a + x)
+    return same, 3.0 * F.size(known) - same
+
+
+def mismatch_tag(marks: Column, length: Column) -> Column:
+    """MD tag of a gapless alignment from comma-joined marks ``offset:base`` (offsets from 0, rising): matches between the reference bases."""
+    cells = F.filter(F.split(F.coalesce(marks, F.lit("")), ","), lambda m: m != "")
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
+
+    def step(a: Column, m: Column) -> Column:
+        at = F.split_part(m, F.lit(":"), F.lit(1)).cast("int")
+        return F.struct((at + 1).alias("at"), F.concat(a["text"], (at - a["at"]).cast("string"), F.split_part(m, F.lit(":"), F.lit(2))).alias("text"))
+
+    return F.aggregate(cells, start, step, lambda a: F.concat(a["text"], (length - a["at"]).cast("string")))
+
+
+def scarf_fields(line: Column) -> Column:
+    """(name, seq, qual) of a one-line record: name fields, sequence and qualities (characters, or numbers by spaces) by colons."""
+    cells = F.split(line, ":", -1)
+    n = F.size(cells)
+    return F.struct(F.concat_ws(":", F.slice(cells, F.lit(1), n - 2)).alias("name"), F.element_at(cells, -2).alias("seq"), F.element_at(cells, -1).alias("qual"))
+
+
+def integer_quality(numbers: Column, offset: int = 33) -> Column:
+    """Quality characters of scores written as numbers by spaces."""
+    return F.array_join(F.transform(F.filter(F.split(F.trim(numbers), r"\s+"), lambda x: x != ""), lambda x: F.char(x.cast("int") + offset)), "")
+
+
 def phred_from_solexa(q: Column) -> Column:
     """Sanger quality character of a Solexa score."""
     return F.char(F.floor(33 + 10 * F.log10(1 + F.pow(F.lit(10.0), q / 10)) + 0.499).cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 
 
 def cycle_statistics(reads: DataFrame, *, offset: int = 33) -> DataFrame:
-    """Per cycle of (seq, qual): count, extremes, mean, quartiles by cumulated histogram, whiskers and base counts."""
+    """Per cycle of (seq, qual): count (and the largest of any cycle), extremes, mean, quartiles by cumulated histogram, whiskers and base counts."""
     cells = reads.select(F.posexplode(F.split("qual", "")).alias("at", "q"), "seq").where("q <> ''")
     cells = cells.select((F.col("at") + 1).alias("cycle"), (F.ascii("q") - offset).alias("q"), F.upper(F.substring("seq", F.col("at") + 1, F.lit(1))).alias("base"))
     bars = cells.groupBy("cycle", "q").agg(F.count("*").alias("rows"), *[F.count_if(F.col("base") == b).alias(f"base_{b}") for b in "ACGTN"])
@@ -23,6 +23,7 @@ def cycle_statistics(reads: DataFrame, *, offset: int = 33) -> DataFrame:
         F.sum("rows").alias("count"), F.min("q").alias("min"), F.max("q").alias("max"), F.sum(F.col("q") * F.col("rows")).alias("sum"),
         quantile(1).alias("q1"), quantile(2).alias("med"), quantile(3).alias("q3"), *[F.sum(f"base_{b}").alias(f"{b.lower()}_count") for b in "ACGTN"],
     )
+    rows = rows.crossJoin(F.broadcast(rows.agg(F.max("count").alias("max_count"))))  # one row
     iqr = F.col("q3") - F.col("q1")
     rows = rows.withColumn("iqr", iqr).withColumn("mean", F.round(F.col("sum") / F.col("count"), 2))
     reach = F.expr("iqr * 3 div 2")
@@ -153,20 +154,66 @@ def binned_distribution(rows: DataFrame, value: str, step: float) -> DataFrame:
     return bars.crossJoin(F.broadcast(bars.agg(F.sum("n").alias("_t")))).select("bin", "n", (F.col("n") / F.col("_t")).alias("share"))
 
 
-def correction_counts(rows: DataFrame) -> DataFrame:
-    """Counters of assembly corrections (ref, alt): replaced, added, removed, large indels."""
-    d = F.length("alt") - F.length("ref")
-    return rows.agg(F.count_if((d == 0) & (F.col("ref") != F.col("alt"))).alias("replaced"), F.count_if(d > 0).alias("added"), F.count_if(d < 0).alias("removed"), F.count_if(F.abs(d) > 10).alias("large"))
+def correction_counts(rows: DataFrame, group: list[str] = ()) -> DataFrame:
+    """Counters of assembly corrections (depth, first, second, first_quality, second_quality) per group.
+
+    Rows of depth 10 or less are left out.  Without qualities a row is a replacement.  Else the
+    allele of the higher quality (the second on a tie) is an indel, its sign first: a minus
+    removes bases.  Large ones are longer than 30 with the sign; sizes do not count it.
+    """
+    rows = rows.where("depth > 10")
+    replaced = F.col("first_quality").isNull()
+    allele = F.when(F.col("first_quality") > F.col("second_quality"), F.col("first")).otherwise(F.col("second"))
+    rows = rows.withColumn("_a", F.when(~replaced, allele)).withColumn("_n", F.length("_a") - 1)
+    less = F.col("_a").contains("-")
+    none = F.lit(0)
+    return rows.groupBy(*group).agg(
+        F.count_if(replaced).alias("replaced"), F.count_if(~less).alias("added"), F.count_if(less).alias("removed"), F.count_if(F.col("_n") + 1 > 30).alias("large"),
+        F.coalesce(F.sum(F.when(~less, F.col("_n"))), none).alias("bases_added"), F.coalesce(F.sum(F.when(less, F.col("_n"))), none).alias("bases_removed"),
+        F.coalesce(F.max(F.when(~less, F.col("_n"))), none).alias("largest_added"), F.coalesce(F.max(F.when(less, F.col("_n"))), none).alias("largest_removed"))
+
+
+def break_statistics(rows: DataFrame, *, weak: int = 50, spanned: int = 20, short: int = 500) -> DataFrame:
+    """Breaks of contigs and the bases they lose: rows (contig, length, sizes, cuts, pairs), the lists by commas, cuts as start-stop.
+
+    A block of at most ``weak`` bases that ``spanned`` pairs or more reach over is no break.  A
+    break loses its block, and the piece before it (the last one also the piece after) if that
+    is shorter than ``short``.
+    """
+    cuts = F.concat(F.array(F.lit(0).cast("long")), F.transform(F.split("cuts", "[,-]"), lambda x: x.cast("long")), F.array((F.col("length") + 1).cast("long")))
+    rows = rows.select("contig", F.transform(F.split("sizes", ","), lambda x: x.cast("long")).alias("s"), cuts.alias("c"), F.transform(F.split("pairs", ","), lambda x: x.cast("long")).alias("p"))
+    each = rows.select("contig", F.posexplode("s").alias("i", "size"), F.size("s").alias("n"), "c", "p")
+    piece = lambda k: F.get("c", k + 1) - F.get("c", k) - 1
+    before, after = piece(2 * F.col("i")), piece(F.size("c") - 2)
+    lost = F.col("size") + F.when(before < short, before).otherwise(0) + F.when((F.col("i") == F.col("n") - 1) & (after < short), after).otherwise(0)
+    return each.where(~((F.col("size") <= weak) & (F.get("p", F.col("i")) >= spanned))).agg(F.count("*").alias("breaks"), F.coalesce(F.sum(lost), F.lit(0)).alias("lost"))
 
 
-def majority_bases(rows: DataFrame, *, max_ref: int = 10, least_share: float = 0.7) -> DataFrame:
-    """Positions (a, c, g, t, ref) where another base clearly outweighs the reference."""
-    counts = {b: F.col(b.lower()) for b in "ACGT"}
-    depth = sum(counts.values())
+def majority_bases(rows: DataFrame, *, max_ref: int = 10, least_share: float = 0.7, min_depth: int = 10, least_quality: float | None = None) -> DataFrame:
+    """Positions (a, c, g, t, ref, optionally depth and quality) where another base clearly outweighs the reference.
+
+    With a depth column the share is of the depth, which must exceed ``min_depth``; with
+    ``least_quality`` the consensus and mapping qualities (quality, map_quality) must reach it.
+    Of equal bases the last in the order A, T, C, G is taken.
+    """
+    counts = {b: F.col(b.lower()) for b in "GCTA"}
     top = F.greatest(*counts.values())
     base = F.coalesce(*[F.when(c == top, F.lit(b)) for b, c in counts.items()])
     ref = F.coalesce(*[F.when(F.col("ref") == b, c) for b, c in counts.items()], F.lit(0))
-    return rows.withColumn("base", base).withColumn("share", top / depth).where((ref <= max_ref) & (F.col("share") >= least_share) & (F.col("base") != F.col("ref")))
+    depth = F.col("depth") if "depth" in rows.columns else sum(counts.values())
+    keep = (ref <= max_ref) & (F.col("share") >= least_share) & (F.col("base") != F.col("ref"))
+    if "depth" in rows.columns:
+        keep &= F.col("depth") > min_depth
+    if least_quality is not None:
+        keep &= (F.col("quality") >= least_quality) & (F.col("map_quality") >= least_quality)
+    return rows.withColumn("base", base).withColumn("share", top / depth).where(keep)
+
+
+def majority_indels(rows: DataFrame, *, cutoff: float, min_depth: int = 10) -> DataFrame:
+    """Indels (contig, pos, allele) whose quality a depth exceeds ``cutoff``, the first allele before the second; rows as in ``correction_counts``."""
+    sure = lambda allele, quality: (F.col(quality) / F.col("depth") > cutoff) & F.col(allele).rlike("^[+-]")
+    allele = F.when(sure("first", "first_quality"), F.col("first")).when(sure("second", "second_quality"), F.col("second"))
+    return rows.where(F.col("depth") > min_depth).withColumn("allele", allele).where("allele is not null").select("contig", "pos", "allele")
 
 
 def patch_sequences(contigs: DataFrame, changes: DataFrame) -> DataFrame:
@@ -181,3 +228,42 @@ def size_normalised(rows: DataFrame, sizes: DataFrame) -> DataFrame:
     mean = sizes.agg(F.avg("size").alias("_mean"))
     joined = rows.join(sizes, "taxon", "left").crossJoin(F.broadcast(mean))
     return joined.select("taxon", (F.col("value") / F.when(F.col("taxon") == "-1", F.col("_mean")).otherwise(F.col("size"))).alias("value"))
+
+
+def weighted_scaling(rows: DataFrame, taxon: str) -> DataFrame:
+    """taxon, norm, raw and scaled sums of genes (taxon, value, length): norm values times the ratio of all values to all norm values."""
+    sums = rows.groupBy(taxon).agg(F.sum("value").alias("raw"), F.sum(F.col("value") / F.col("length")).alias("norm"))
+    total = sums.agg((F.sum("raw") / F.sum("norm")).alias("_w"))
+    return sums.crossJoin(F.broadcast(total)).withColumn("scaled", F.col("norm") * F.col("_w")).drop("_w")
+
+
+def multiplicity_summary(histogram: DataFrame) -> DataFrame:
+    """keys, share of keys with one item, and interactions (all items of all keys) of a histogram (k, n)."""
+    return histogram.agg(F.sum("n").alias("keys"), (F.sum(F.when(F.col("k") == 1, F.col("n")).otherwise(0)) / F.sum("n")).alias("unique_fraction"), F.sum(F.col("k") * F.col("n")).alias("interactions"))
+
+
+def copy_normalised(counts: DataFrame, copies: DataFrame, closure: DataFrame, root: str) -> DataFrame:
+    """Counts (taxon, sample, value) over the copy number (id, copies) of the nearest ancestor that has one; unassigned (-1) over the root's."""
+    near = closure.join(copies.where("copies > 0").select(F.col("id").alias("ancestor"), "copies"), "ancestor")
+    near = near.groupBy(F.col("id").alias("_taxon")).agg(F.min_by("copies", "steps").alias("_copies"))
+    key = F.when(F.col("taxon") == "-1", F.lit(root)).otherwise(F.col("taxon"))
+    joined = counts.withColumn("_taxon", key).join(near, "_taxon", "left")
+    return joined.select("taxon", "sample", (F.col("value") / F.col("_copies")).alias("value"))
+
+
+def transferred_coverage(hits: DataFrame, coverage: DataFrame, lengths: DataFrame) -> DataFrame:
+    """protein, value: each gene's coverage (gene, coverage) times the positions of the protein it covers, over the proteins it ties with and the protein's length.
+
+    hits are (gene, protein, start, stop); overlapping hits of a gene on a protein count a position once.
+    """
+    covered = covered_length(hits, ["gene", "protein"], "start", "stop")
+    covered = covered.withColumn("_ties", F.count("*").over(Window.partitionBy("gene")))
+    rows = covered.join(coverage, "gene").join(lengths, "protein")
+    return rows.groupBy("protein").agg(F.sum(F.col("covered") * F.col("coverage") / F.col("_ties") / F.col("length")).alias("value"))
+
+
+def rank_totals(counts: DataFrame, ancestors: DataFrame) -> DataFrame:
+    """Counts (taxon, sample, value) summed by the ancestor (id, at_rank) of each taxon; the row -1 is carried apart."""
+    rows = counts.join(ancestors.select(F.col("id").alias("taxon"), "at_rank"), "taxon", "left")
+    feature = F.when(F.col("taxon") == "-1", F.lit("-1")).otherwise(F.coalesce("at_rank", F.col("taxon")))
+    return rows.groupBy(feature.alias("feature"), "sample").agg(F.sum("value").alias("value"))

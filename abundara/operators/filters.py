@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from abundara.functions.reads import cigar_project, kmer_size, read_stem
+
 
 def length_identity(rows: DataFrame, length: str, identity: str, *, least_length: float = 45, least_identity: float = 95) -> DataFrame:
     return rows.where((F.col(length) >= least_length) & (F.col(identity) >= least_identity))
@@ -61,8 +63,13 @@ def not_trivial(hits: DataFrame, query: str, subject: str, identity: str, *, cei
     return hits.where(keep)
 
 
-def five_prime_cut(cycles: DataFrame, lane: str, cycle: str, bases: list[str], *, deviations: float = 2.0) -> DataFrame:
-    """First kept cycle per lane: after the leading run of cycles in which any base is off its mean."""
+def five_prime_cut(cycles: DataFrame, lane: str, cycle: str, bases: list[str], *, deviations: float = 2.0, least_quality: float | None = None) -> DataFrame:
+    """First kept cycle per lane: after the leading run of cycles in which any base is off its mean.
+
+    With ``least_quality`` only cycles whose mean and median quality (mean, med) reach it are looked at.
+    """
+    if least_quality is not None:
+        cycles = cycles.where((F.col("mean") >= least_quality) & (F.col("med") >= least_quality))
     w = Window.partitionBy(lane)
     off = reduce(Column.__or__, [F.abs(F.col(b) - F.avg(b).over(w)) > deviations * F.stddev_samp(b).over(w) for b in bases])
     marked = cycles.withColumn("_off", F.coalesce(off, F.lit(False)))
@@ -105,3 +112,119 @@ def revision_pairs(rows: DataFrame, *, least_identity: float = 0.9) -> DataFrame
     good = rows.where(F.col("identity") >= least_identity)
     mates = F.size(F.collect_set("mate").over(Window.partitionBy("insert")))
     return good.withColumn("_m", mates).where("_m = 2").drop("_m").withColumn("hits", F.count("*").over(Window.partitionBy("insert", "mate")))
+
+
+def sam_filter(rows: DataFrame, *, least_length: int, least_identity: float) -> DataFrame:
+    """Alignments (cigar, pos, mismatches) by total length, clips included, and identity on the matched length."""
+    p = cigar_project(F.col("cigar"), F.col("pos"))
+    share = 100 - F.col("mismatches") / F.col("_p.match_len") * 100
+    return rows.withColumn("_p", p).where((F.col("_p.total_len") >= least_length) & (share >= least_identity)).drop("_p")
+
+
+def merge_in_order(order: DataFrame, parts: list[DataFrame], read: str = "read_id") -> DataFrame:
+    """Rows of several alignment tables in the order of a list of reads (read, ord), mates beside each other.
+
+    Every row's read must be in the list: an unknown one is an error, so as many rows come out as go in.
+    """
+    rows = reduce(lambda a, b: a.unionByName(b), [p.withColumn("_part", F.lit(n)) for n, p in enumerate(parts)])
+    joined = rows.join(order.select(F.col(read), F.col("ord")), read, "left")
+    checked = F.when(F.col("ord").isNull(), F.raise_error(F.concat(F.lit("not in the list of reads: "), F.col(read))).cast("long")).otherwise(F.col("ord"))
+    return joined.withColumn("ord", checked).orderBy("ord", "_part").drop("_part")
+
+
+def trim_single(reads: DataFrame, trimmed: Column) -> DataFrame:
+    """Reads (header, seq, qual) with a trimmed (seq, qual) put in and headers ``stem/1``; those trimmed away or filtered go."""
+    rows = reads.select(read_stem(F.col("header")).alias("stem"), trimmed.alias("t")).where("stem is not null and t is not null")
+    return rows.select(F.concat("stem", F.lit("/1")).alias("header"), "t.seq", "t.qual")
+
+
+def trim_paired(first: DataFrame, second: DataFrame, single: DataFrame | None, trim) -> DataFrame:
+    """(stem, kind, seq_1, qual_1, seq_2, qual_2) of two mates' reads paired by their stems, whatever their order.
+
+    ``trim`` maps (qual, seq) columns to a trimmed struct or null.  kind is pair, single.1 or
+    single.2; reads of a third file are single.1 each.
+    """
+
+    def ready(reads: DataFrame) -> DataFrame:
+        rows = reads.select(read_stem(F.col("header")).alias("stem"), trim(F.col("qual"), F.col("seq")).alias("t"))
+        return rows.where("stem is not null and t is not null").select("stem", "t.seq", "t.qual")
+
+    paired = pair_by_header(ready(first), ready(second), "stem")
+    if single is not None:
+        alone = ready(single).select("stem", F.col("seq").alias("seq_1"), F.col("qual").alias("qual_1"), F.lit("single.1").alias("kind"))
+        paired = paired.unionByName(alone, allowMissingColumns=True)
+    return paired.select("stem", "kind", "seq_1", "qual_1", "seq_2", "qual_2")
+
+
+def cut_lookup(lanes: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The first cycle kept of each (sample, lane) from a table (ord, sample, lane, first_cycle), lanes with or without a suffix; the last line wins, none is an error."""
+    bare = lambda c: F.regexp_replace(c, r"(\.fq)?(\.gz|\.bz2)?$", "")
+    last = cuts.groupBy("sample", bare(F.col("lane")).alias("_lane")).agg(F.max_by("first_cycle", "ord").alias("first_cycle"))
+    joined = lanes.withColumn("_lane", bare(F.col("lane"))).join(last, ["sample", "_lane"], "left")
+    missing = F.raise_error(F.concat(F.lit("no 5' cut for "), F.col("sample"), F.lit(" "), F.col("lane"))).cast("int")
+    return joined.withColumn("first_cycle", F.when(F.col("first_cycle").isNull(), missing).otherwise(F.col("first_cycle"))).drop("_lane")
+
+
+def screen_statistics(reads: DataFrame, hits: DataFrame, key: str, length: str) -> DataFrame:
+    """Reads, bases, longest, mean length, k-mer size and inserts of both sides of a screen, in one pass over the reads."""
+    found = hits.select(key).distinct().withColumn("_hit", F.lit(True))
+    rows = reads.join(found, key, "left").withColumn("side", F.when(F.col("_hit"), "extracted").otherwise("screened"))
+    per = rows.groupBy("side").agg(F.count("*").alias("reads"), F.sum(length).alias("bases"), F.max(length).alias("max"), F.avg(length).alias("avg"), F.count_distinct(key).alias("inserts"))
+    return per.withColumn("kmer", kmer_size(F.col("bases"), F.col("reads")))
+
+
+def hit_inserts(hits: DataFrame, insert: str, length: str, identity: str, *, least_length: float, least_identity: float) -> DataFrame:
+    """Inserts with an alignment long and alike enough."""
+    return length_identity(hits, length, identity, least_length=least_length, least_identity=least_identity).select(insert).distinct()
+
+
+def hit_summary(hits: DataFrame, query: str) -> DataFrame:
+    """All hits, and queries that have one."""
+    return hits.agg(F.count("*").alias("hits"), F.count_distinct(query).alias("queries"))
+
+
+def subject_order(hits: DataFrame, subject: str) -> DataFrame:
+    """Hits by subject, the most first."""
+    return hits.groupBy(subject).agg(F.count("*").alias("n")).orderBy(F.desc("n"), subject)
+
+
+def long_hits(hits: DataFrame, *, queries: DataFrame | None = None, subjects: DataFrame | None = None, least_query: float = 0.0, least_subject: float = 0.0) -> DataFrame:
+    """Hits whose aligned part is at least a share of the query's and of the subject's length (tables query or subject, length)."""
+    rows = hits
+    for table, name, a, b, least in ((queries, "query", "qs", "qe", least_query), (subjects, "subject", "ss", "se", least_subject)):
+        if table is not None:
+            rows = rows.join(table.select(F.col(name), F.col("length").alias("_n")), name)
+            rows = rows.where((F.abs(F.col(b) - F.col(a)) + 1) / F.col("_n") >= least).drop("_n")
+    return rows
+
+
+def long_sequences(rows: DataFrame, seq: str, least: int = 100) -> DataFrame:
+    return rows.where(F.length(seq) >= least)
+
+
+def complete_genes(genes: DataFrame, sequences: DataFrame, gene: str = "gene") -> DataFrame:
+    """Sequences of the genes whose type is complete."""
+    return sequences.join(genes.where("gene_type = 'complete'").select(gene), gene, "left_semi")
+
+
+def metadata_subset(rows: DataFrame, samples: DataFrame, key: str, **allowed) -> DataFrame:
+    """Rows of the samples whose every named variable has one of its allowed values."""
+    keep = reduce(Column.__and__, [F.col(c).isin(*v) for c, v in allowed.items()], F.lit(True))
+    return rows.join(samples.where(keep).select(key), key, "left_semi")
+
+
+def sturdy_cells(matrix: DataFrame, *, least: float | None = None, least_samples: int = 0) -> DataFrame:
+    """Cells of a matrix without those that are zero or below ``least``, and without features then left in too few samples."""
+    cells = matrix.where(F.col("value") != 0) if least is None else matrix.where((F.col("value") != 0) & (F.col("value") >= least))
+    good = cells.groupBy("feature").agg(F.count_distinct("sample").alias("_n")).where(F.col("_n") >= least_samples)
+    return cells.join(good.select("feature"), "feature", "left_semi")
+
+
+def without_empty_rows(matrix: DataFrame) -> DataFrame:
+    """Cells of features that are not zero everywhere."""
+    return matrix.join(matrix.where("value <> 0").select("feature").distinct(), "feature", "left_semi")
+
+
+def prune_references(coordinates: DataFrame, present: DataFrame, ref: str = "ref") -> DataFrame:
+    """Intervals of the references that occur in a list."""
+    return coordinates.join(present.select(ref).distinct(), ref, "left_semi")

@@ -62,3 +62,22 @@ def og_regions(hits: DataFrame, regions: DataFrame, *, least: int = 10) -> DataF
     joined = joined.where(F.col("overlap") > least)
     left, right = F.greatest(F.lit(0), F.col("region_start") - F.col("s_start")), F.greatest(F.lit(0), F.col("s_stop") - F.col("region_stop"))
     return joined.withColumn("q_from", F.col("q_start") + left).withColumn("q_to", F.col("q_stop") - right)
+
+
+def many_to_many(values: DataFrame, mapping: DataFrame, key: str, group: str, value: str) -> DataFrame:
+    """Values summed over every group a key belongs to (a key may belong to many), with the members found of each group."""
+    pairs = mapping.select(key, group).distinct()
+    return values.join(pairs, key).groupBy(group).agg(F.sum(value).alias(value), F.count_distinct(key).alias("members"))
+
+
+def annotate(rows: DataFrame, annotation: DataFrame, key: str) -> DataFrame:
+    """Left join to an annotation whose columns without any value for these rows are dropped."""
+    joined = rows.join(annotation, key, "left")
+    extra = [c for c in annotation.columns if c != key]
+    held = joined.agg(*[F.count(F.nullif(F.col(c).cast("string"), F.lit(""))).alias(c) for c in extra]).first()
+    return joined.drop(*[c for c in extra if not held[c]])
+
+
+def indexed_chain(rows: DataFrame, forward: DataFrame, backward: DataFrame, key: str) -> DataFrame:
+    """Rows (key, ...) to names by a forward index (key, name) and on to groups by a backward one (group, name): all groups of a key."""
+    return rows.join(forward, key).join(backward, "name").dropDuplicates([key, "group"])

@@ -11,9 +11,57 @@ def transpose(m: DataFrame) -> DataFrame:
     return m.select(F.col("sample").alias("feature"), F.col("feature").alias("sample"), "value")
 
 
-def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
-    """a(feature, k) times b(k, sample), each with value."""
-    return a.withColumnRenamed("value", "_a").join(b.withColumnRenamed("value", "_b"), "k").groupBy("feature", "sample").agg(F.sum(F.col("_a") * F.col("_b")).alias("value"))
+def multiply(a: DataFrame, b: DataFrame, *, complete: bool = False) -> DataFrame:
+    """a(feature, k) times b(k, sample), each with value.
+
+    With ``complete`` a missing cell is an error, told by the number of products of each result
+    cell; else it counts as zero.
+    """
+    out = a.withColumnRenamed("value", "_a").join(b.withColumnRenamed("value", "_b"), "k").groupBy("feature", "sample").agg(F.sum(F.col("_a") * F.col("_b")).alias("value"), F.count("*").alias("_n"))
+    if complete:
+        inner = a.select("k").union(b.select("k")).agg(F.count_distinct("k").alias("_k"))
+        lost = F.raise_error(F.concat(F.lit("a cell is missing for "), "feature", F.lit(" and "), "sample")).cast("double")
+        out = out.crossJoin(F.broadcast(inner)).withColumn("value", F.when(F.col("_n") < F.col("_k"), lost).otherwise(F.col("value")))
+    return out.select("feature", "sample", "value")
+
+
+def scale(m: DataFrame, by: float) -> DataFrame:
+    return m.withColumn("value", F.col("value") * by)
+
+
+def normalise_rows(m: DataFrame) -> DataFrame:
+    """Shares within each feature; a feature that sums to zero is an error."""
+    total = F.sum("value").over(Window.partitionBy("feature"))
+    none = F.raise_error(F.concat(F.lit("a row sums to zero: "), "feature")).cast("double")
+    return m.withColumn("value", F.when(total == 0, none).otherwise(F.col("value") / total))
+
+
+def melt(wide_: DataFrame, key: str = "feature") -> DataFrame:
+    """Long form of a table with a column a sample."""
+    names = [c for c in wide_.columns if c != key]
+    return wide_.unpivot(key, names, "sample", "value")
+
+
+def rescale(m: DataFrame, by: str = "feature") -> DataFrame:
+    """Values moved to 0 to 1 within each feature (or sample); a constant one becomes 0."""
+    w = Window.partitionBy(by)
+    low, high = F.min("value").over(w), F.max("value").over(w)
+    return m.withColumn("value", F.when(high > low, (F.col("value") - low) / (high - low)).otherwise(0.0))
+
+
+def apply(m: DataFrame, *, cell=None, feature=None, sample=None) -> DataFrame:
+    """Functions of columns put to every cell, feature name or sample name; cells that fall together are summed."""
+    out = m.select(
+        (feature or (lambda c: c))(F.col("feature")).alias("feature"), (sample or (lambda c: c))(F.col("sample")).alias("sample"), (cell or (lambda c: c))(F.col("value")).alias("value"))
+    return out.groupBy("feature", "sample").agg(F.sum("value").alias("value")) if feature or sample else out
+
+
+def diversity_over_groups(m: DataFrame, group) -> DataFrame:
+    """Mean and deviation over groups of features (marker genes) of richness, Chao1, effective species and evenness, per sample."""
+    parts = m.withColumn("sample", F.concat_ws("\x01", "sample", group))
+    each = alpha_diversity(parts).withColumn("sample", F.split_part("sample", F.lit("\x01"), F.lit(1)))
+    names = ("richness", "chao1", "effective", "evenness")
+    return each.groupBy("sample").agg(*[f(c).alias(f"{c}_{n}") for c in names for n, f in (("mean", F.avg), ("sd", F.stddev_samp))])
 
 
 def zero_fill(m: DataFrame, value: float = 0.0) -> DataFrame:

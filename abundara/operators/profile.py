@@ -8,14 +8,12 @@ first pass's unique abundances back to the multi-mapping targets.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from abundara.operators.scratch import kept
+
 INSERT = ["sample", "insert_id"]
 
 
@@ -46,16 +44,35 @@ def allow(values: DataFrame) -> DataFrame:
 
 def shares(hits: DataFrame, taxon: str | None = None) -> DataFrame:
     """Shares of each allowed gene; for taxa the divisor falls back to the gene level's where mates do not agree."""
-    values = insert_values(hits, taxon)
+    return _shares(insert_values(hits, taxon), taxon is not None)
+
+
+def _shares(values: DataFrame, taxa: bool) -> DataFrame:
     rows = allow(values)
     count = F.col("n_genes")
-    if taxon:
+    if taxa:
         genes = allow(values.withColumn("taxon", F.col("gene"))).groupBy(*INSERT, "type").agg(F.count("*").alias("gene_count"))
         rows = rows.join(genes, [*INSERT, "type"])
         count = F.when(F.col("agreed"), F.col("n_genes")).otherwise(F.col("gene_count"))
     return rows.select(*INSERT, "type", "gene", "taxon", "length", "alone", (F.col("value") / count).alias("share"), F.when(F.col("type") == "insert", "insert").otherwise("base").alias("kind"))
 
 
+def seen_taxa(hits: DataFrame, taxon: str) -> DataFrame:
+    """The taxa of each insert and type, each with its last gene (by name) and its number of genes."""
+    return insert_values(hits, taxon).groupBy(*INSERT, "type", "taxon").agg(F.max("gene").alias("last_gene"), F.count_distinct("gene").alias("genes"))
+
+
+def multi_mappers(share: DataFrame) -> DataFrame:
+    """One record of each insert and type that maps to several taxa: its value and the targets (gene, taxon, length), as many as the aligner reports of one read."""
+    rows = share.where("not alone").groupBy(*INSERT, "type", "kind")
+    return rows.agg(F.sum("share").alias("value"), F.sort_array(F.collect_list(F.struct("gene", "taxon", "length"))).alias("targets"))
+
+
+def level_totals(rows: DataFrame) -> DataFrame:
+    """All raw and length-normalised values mapped, per sample, kind and distribution."""
+    return rows.groupBy("sample", "kind").agg(*[F.sum(f"{d}{n}").alias(f"{d}{n}") for d in ("", "unique_", "mm_") for n in ("raw", "norm")])
+
+
 def counts(share: DataFrame) -> DataFrame:
     """raw, norm, unique raw and unique norm by (sample, taxon, kind)."""
     norm = F.col("share") / F.col("length")
@@ -97,29 +114,20 @@ def redistribute(share: DataFrame, totals: DataFrame, gene_totals: DataFrame | N
     return rows.groupBy("sample", "taxon", "kind").agg(F.sum("mm_raw").alias("mm_raw"), F.sum("mm_norm").alias("mm_norm"))
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder of spark.checkpoint.dir (one is set only where none is): later passes read it back."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        folder = tempfile.mkdtemp(prefix="profiles-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def profile(hits: DataFrame, taxon: str | None = None) -> DataFrame:
     """sample, feature, kind (base, insert) and raw, norm and scaled values of the plain, unique and redistributed counts."""
-    # both passes, and the scaling, read the shares and totals: they are kept rather than computed anew
-    share = _kept(shares(hits, taxon))
-    totals = _kept(counts(share))
+    # both levels derive from one table of insert values; passes and scaling read shares and totals that are written once
+    values = kept(insert_values(hits, taxon)) if taxon else insert_values(hits)
+    share = kept(_shares(values, taxon is not None))
+    totals = kept(counts(share))
     if taxon:
-        gene_share = _kept(shares(hits))
+        gene_share = kept(_shares(values.withColumn("taxon", F.col("gene")), False))
         dealt = redistribute(share, totals, counts(gene_share), gene_share)
     else:
         dealt = redistribute(share, totals)
     rows = totals.join(dealt, ["sample", "taxon", "kind"], "left")
     rows = rows.withColumn("mm_raw", F.col("unique_raw") + F.coalesce("mm_raw", F.lit(0.0))).withColumn("mm_norm", F.col("unique_norm") + F.coalesce("mm_norm", F.lit(0.0)))
-    return scaled(_kept(rows)).withColumnRenamed("taxon", "feature")
+    return scaled(kept(rows)).withColumnRenamed("taxon", "feature")
 
 
 def scaled(rows: DataFrame) -> DataFrame:
@@ -133,11 +141,18 @@ def scaled(rows: DataFrame) -> DataFrame:
     return rows.drop(*[f"_{d}{n}" for d in ("", "unique_", "mm_") for n in ("raw", "norm")])
 
 
-def unmapped(rows: DataFrame, totals: DataFrame) -> DataFrame:
-    """The -1 row per sample and kind: library total less what is mapped; totals has (sample, kind, total)."""
+def unmapped(rows: DataFrame, totals: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
+    """The -1 row per sample and kind: library total less what is mapped, the same in all three distributions; totals has (sample, kind, total).
+
+    norm values are known for taxa only: with ``lengths`` (a length a taxon) they are over the mean length, else null.
+    """
     mapped = rows.groupBy("sample", "kind").agg(F.sum("raw").alias("mapped"))
-    left = F.col("total") - F.coalesce("mapped", F.lit(0.0))
-    return totals.join(mapped, ["sample", "kind"], "left").select("sample", F.lit("-1").alias("feature"), "kind", left.alias("raw"), F.lit(None).cast("double").alias("norm"), left.alias("scaled"))
+    left = totals.join(mapped, ["sample", "kind"], "left").withColumn("left", F.col("total") - F.coalesce("mapped", F.lit(0.0)))
+    norm = F.lit(None).cast("double")
+    if lengths is not None:
+        left, norm = left.crossJoin(F.broadcast(lengths.agg(F.avg("length").alias("_mean")))), F.col("left") / F.col("_mean")
+    values = {"raw": F.col("left"), "norm": norm, "scaled": F.col("left")}
+    return left.select("sample", F.lit("-1").alias("feature"), "kind", *[values[n].alias(f"{d}{n}") for d in ("", "unique_", "mm_") for n in ("raw", "norm", "scaled")])
 
 
 def coverage_stats(rows: DataFrame, totals: DataFrame, intervals: DataFrame) -> DataFrame:
@@ -148,20 +163,40 @@ def coverage_stats(rows: DataFrame, totals: DataFrame, intervals: DataFrame) ->
     return joined.select("sample", "kind", "total", F.coalesce("mapped", F.lit(0.0)).alias("mapped"), (F.coalesce("mapped", F.lit(0.0)) / F.col("total")).alias("fraction"), "mean_length")
 
 
+def _assigned(genes: DataFrame, categories: DataFrame) -> DataFrame:
+    """A row for each gene and level with the names of its categories; as many levels as the map has columns."""
+    levels = categories.select("level").distinct()
+    if levels.limit(1001).count() > 1000:
+        raise ValueError("more than 1,000 levels in a functional map")
+    cells = genes.crossJoin(F.broadcast(levels)).join(categories, ["gene", "level"], "left")
+    return cells.withColumn("names", F.array_distinct(F.filter(F.split(F.coalesce("cell", F.lit("")), "[,|]"), lambda x: (x != "") & (x != "NA"))))
+
+
 def functional(genes: DataFrame, categories: DataFrame, value: str) -> DataFrame:
     """level, category, value, length: each gene's value added in full to every category listed for it.
 
     categories has (gene, level, cell), a cell listing categories by commas or pipes; empty
     cells, NA and genes without a row count as ``unassigned``; ``mapped`` is all genes.
     """
-    levels = categories.select("level").distinct()
-    cells = genes.crossJoin(F.broadcast(levels)).join(categories, ["gene", "level"], "left")
-    names = F.filter(F.split(F.coalesce("cell", F.lit("")), "[,|]"), lambda x: (x != "") & (x != "NA"))
-    names = F.when(F.size(names) == 0, F.array(F.lit("unassigned"))).otherwise(F.array_distinct(names))
-    rows = cells.select("level", F.explode(F.concat(names, F.array(F.lit("mapped")))).alias("category"), F.col(value).alias("value"), "length")
+    names = F.when(F.size("names") == 0, F.array(F.lit("unassigned"))).otherwise(F.col("names"))
+    rows = _assigned(genes, categories).select("level", F.explode(F.concat(names, F.array(F.lit("mapped")))).alias("category"), F.col(value).alias("value"), "length")
     return rows.groupBy("level", "category").agg(F.sum("value").alias("value"), F.sum("length").alias("length"))
 
 
+def functional_headers(genes: DataFrame, categories: DataFrame, value: str, total: DataFrame) -> DataFrame:
+    """The header values of each level, older ones too: total (one row), mapped, assigned_and_unassigned, unassigned, assigned; a gene counts once."""
+    none = F.size("names") == 0
+    rows = _assigned(genes, categories).groupBy("level").agg(
+        F.sum(value).alias("mapped"), F.sum(F.when(none, F.col(value)).otherwise(0.0)).alias("unassigned"), F.sum(F.when(none, 0.0).otherwise(F.col(value))).alias("assigned"))
+    return rows.withColumn("assigned_and_unassigned", F.col("assigned") + F.col("unassigned")).crossJoin(F.broadcast(total.select("total")))
+
+
+def horizontal_levels(covered: DataFrame, groups: DataFrame, group: str) -> DataFrame:
+    """Mean covered bins of the genes (gene, covered) of each group (gene, group), genes without any counting as 0."""
+    rows = groups.select("gene", group).distinct().join(covered, "gene", "left")
+    return rows.groupBy(group).agg(F.avg(F.coalesce("covered", F.lit(0))).alias("covered"), F.count("*").alias("genes"))
+
+
 def horizontal(spans: DataFrame, bins: int = 100) -> DataFrame:
     """gene, covered: bins touched by any span (gene, start, length, hit_start, hit_stop)."""
     top = bins - 1

@@ -25,13 +25,57 @@ def thin(m: DataFrame, share: float, seed: int = 1) -> DataFrame:
     return kept.groupBy("sample", "feature").agg(F.count("*").cast("double").alias("value"))
 
 
-def bootstrap(m: DataFrame, draws: int, replicates: int, seed: int = 1) -> DataFrame:
-    """Multinomial replicates: each draw is a point on the sample's cumulated values, found by a range join."""
+def bootstrap(m: DataFrame, draws: int, replicates: int, seed: int = 1, steps: int = 64) -> DataFrame:
+    """Multinomial replicates: each draw is a point on the sample's cumulated values.
+
+    A sample's line is cut into ``steps`` equal bins; a draw meets only the cells of its bin.
+    """
     w = Window.partitionBy("sample").orderBy("feature")
     cells = m.where("value > 0").withColumn("hi", F.sum("value").over(w)).withColumn("lo", F.col("hi") - F.col("value"))
     totals = m.groupBy("sample").agg(F.sum("value").alias("t")).where("t > 0")
+    cells = cells.join(totals, "sample").withColumn("bin", F.explode(F.sequence(F.floor(F.col("lo") / F.col("t") * steps).cast("int"), F.least(F.floor(F.col("hi") / F.col("t") * steps).cast("int"), F.lit(steps))))).drop("t")
     points = totals.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
     point = F.pmod(_lot(seed, F.col("sample"), F.col("replicate"), F.col("draw")), F.lit(1 << 52)) / float(1 << 52) * F.col("t")
-    points = points.select("sample", "replicate", point.alias("x"))
-    hit = points.join(cells, "sample").where("x >= lo and x < hi")
+    points = points.select("sample", "replicate", point.alias("x"), F.floor(point / F.col("t") * steps).cast("int").alias("bin"))
+    hit = points.join(cells, ["sample", "bin"]).where("x >= lo and x < hi")
     return hit.groupBy("sample", "replicate", "feature").agg(F.count("*").alias("value"))
+
+
+def rarefy_to_least(m: DataFrame, *, top_share: float = 1.0, seed: int = 1) -> DataFrame:
+    """All samples, or the ``top_share`` with the largest totals, rarefied to the smallest total among them."""
+    totals = m.groupBy("sample").agg(F.sum(F.floor("value")).alias("_t"))
+    ranked = totals.withColumn("_r", F.row_number().over(Window.orderBy("_t", "sample"))).withColumn("_n", F.count("*").over(Window.partitionBy(F.lit(0))))  # one row a sample
+    kept = ranked.where(F.col("_r") >= F.ceil(F.col("_n") * F.lit(1 - top_share)))
+    least = kept.agg(F.min("_t")).first()[0]
+    return rarefy(m.join(kept.select("sample"), "sample", "left_semi"), int(least or 0), seed)
+
+
+def thin_to_bases(m: DataFrame, target: float, lengths: DataFrame, seed: int = 1) -> DataFrame:
+    """Base counts thinned by pseudo-reads: a cell's count over its sample's read length (sample, length) gives reads, each kept with
+    the chance target / sample total; a last part of a read is kept with its share of that chance."""
+    total = F.sum("value").over(Window.partitionBy("sample"))
+    rows = m.withColumn("_chance", target / total).join(lengths, "sample").withColumn("_reads", F.col("value") / F.col("length"))
+    each = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.floor("_reads").cast("int"))))
+    chance = F.when(F.col("_k") < F.floor("_reads"), F.col("_chance")).otherwise(F.col("_chance") * (F.col("_reads") - F.floor("_reads")))
+    point = F.pmod(_lot(seed, F.col("sample"), F.col("feature"), F.col("_k")), F.lit(1 << 52)) / float(1 << 52)
+    return each.groupBy("sample", "feature").agg((F.count_if(point < chance) * F.first("length")).cast("double").alias("value"))
+
+
+def resample(items: DataFrame, id_: str, replicates: int, seed: int = 1) -> DataFrame:
+    """Bootstrap by rows: each replicate draws as many rows as there are, with replacement; (replicate, id, times).
+
+    Rows get places by a digest's order in parts; a draw is a place, so draws meet rows by equality.
+    """
+    n = items.count()
+    parts = max(1, n // 1_000_000)
+    placed = items.select(id_).withColumn("_part", F.pmod(_lot(seed, F.col(id_)), F.lit(parts)))
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_c")).withColumn("_before", F.sum("_c").over(Window.partitionBy(F.lit(0)).orderBy("_part")) - F.col("_c"))  # one row a part
+    placed = placed.join(F.broadcast(sizes.select("_part", "_before")), "_part").withColumn("_place", F.col("_before") + F.row_number().over(Window.partitionBy("_part").orderBy(id_)) - 1)
+    draws = items.sparkSession.range(n * replicates).select((F.floor(F.col("id") / n) + 1).cast("int").alias("replicate"), F.pmod(_lot(seed + 1, F.col("id")), F.lit(n)).alias("_place"))
+    draws = draws.groupBy("replicate", "_place").agg(F.count("*").alias("times"))
+    return draws.join(placed.select("_place", id_), "_place").select("replicate", id_, "times")
+
+
+def shuffle(items: DataFrame, id_: str, seed: int = 1) -> DataFrame:
+    """A seeded permutation: rows with the digest whose order is their place."""
+    return items.withColumn("place", _lot(seed, F.col(id_)))

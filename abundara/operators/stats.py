@@ -50,17 +50,45 @@ def exact_rank_p(u: float, n1: int, n2: int) -> float:
 
 
 def adjust(rows: DataFrame, p: str, how: str, order: list[str]) -> DataFrame:
-    """Adds q: bonferroni, bh or by over all rows with a p value (a table of features: one row a feature)."""
+    """Adds q: bonferroni, bh or by over all rows with a p value.
+
+    Ranks and running minima come from a range partition: each part numbers its own rows and
+    takes what the parts before (or after) it hold from a table with one row a part.
+    """
     some = rows.where(F.col(p).isNotNull())
-    n = some.agg(F.count("*").cast("double").alias("_n"), F.sum(F.lit(0.0)).alias("_z"))
-    some = some.crossJoin(F.broadcast(n.select("_n")))
+    n = some.agg(F.count("*").cast("double").alias("_n"))
+    some = some.crossJoin(F.broadcast(n))
     if how == "bonferroni":
         return some.withColumn("q", F.least(F.lit(1.0), F.col(p) * F.col("_n"))).drop("_n")
-    w = Window.orderBy(F.col(p), *order)
     factor = F.lit(1.0) if how == "bh" else F.aggregate(F.sequence(F.lit(1), F.col("_n").cast("int")), F.lit(0.0), lambda a, i: a + 1.0 / i)
-    some = some.withColumn("_q", F.col(p) * F.col("_n") * factor / F.row_number().over(w))
-    back = Window.orderBy(F.desc(p), *[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
-    return some.withColumn("q", F.least(F.lit(1.0), F.min("_q").over(back))).drop("_q", "_n")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = some.agg(F.percentile_approx(p, [k / parts for k in range(1, parts)], 10_000).alias("_b")) if parts > 1 else some.agg(F.array().cast("array<double>").alias("_b"))
+    some = some.crossJoin(F.broadcast(bounds)).withColumn("_part", F.size(F.filter("_b", lambda b: b < F.col(p)))).drop("_b")
+    inside = Window.partitionBy("_part").orderBy(F.col(p), *order)
+    counts = some.groupBy("_part").agg(F.count("*").alias("_c"))
+    before = counts.withColumn("_before", F.sum("_c").over(Window.partitionBy(F.lit(0)).orderBy("_part")) - F.col("_c"))  # one row a part
+    some = some.join(F.broadcast(before.select("_part", "_before")), "_part").withColumn("_q", F.col(p) * F.col("_n") * factor / (F.col("_before") + F.row_number().over(inside)))
+    least = some.groupBy("_part").agg(F.min("_q").alias("_m"))
+    after = least.withColumn("_after", F.min("_m").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)))
+    back = Window.partitionBy("_part").orderBy(F.desc(p), *[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    some = some.join(F.broadcast(after.select("_part", "_after")), "_part")
+    return some.withColumn("q", F.least(F.lit(1.0), F.min("_q").over(back), F.col("_after"))).drop("_q", "_n", "_part", "_before", "_after")
+
+
+def rank_sum_summary(rows: DataFrame, feature: str, group: str, value: str, first: str, second: str, shift: float = 1e-8) -> DataFrame:
+    """Per feature: medians and means of log10(x + shift) in both groups, and the fold change of their means."""
+    rows = rows.where(F.col(group).isin(first, second)).withColumn("_l", F.log10(F.col(value) + shift))
+    of = lambda f, g: f(F.when(F.col(group) == g, F.col("_l")))
+    found = rows.groupBy(feature).agg(*[of(f, g).alias(f"{name}{k}") for k, g in ((1, first), (2, second)) for name, f in (("median", F.median), ("mean", F.avg))])
+    return found.withColumn("fold_change", F.pow(F.lit(10.0), F.greatest("mean1", "mean2") - F.least("mean1", "mean2")))
+
+
+def roc_curve(rows: DataFrame, feature: str, score: str, truth: Column) -> DataFrame:
+    """Per feature and distinct score, from the highest: true and false positive rates of scores at least that high."""
+    bars = rows.groupBy(feature, score).agg(F.count_if(truth).alias("_t"), F.count_if(~truth).alias("_f"))
+    down, all_ = Window.partitionBy(feature).orderBy(F.desc(score)), Window.partitionBy(feature)
+    rate = lambda c: F.sum(c).over(down) / F.nullif(F.sum(c).over(all_), F.lit(0))
+    return bars.select(feature, score, rate("_t").alias("tpr"), rate("_f").alias("fpr"))
 
 
 def cutoff_sweep(rows: DataFrame, score: str, truth: Column, cutoffs: Column) -> DataFrame:
@@ -99,3 +127,82 @@ def size_factors(m: DataFrame) -> DataFrame:
     """Median-of-ratios factors of the samples of a filled count matrix."""
     logs = m.withColumn("_l", F.avg(F.when(F.col("value") > 0, F.log("value"))).over(Window.partitionBy("feature"))).withColumn("_z", F.min("value").over(Window.partitionBy("feature")))
     return logs.where("_z > 0").groupBy("sample").agg(F.median(F.col("value") / F.exp("_l")).alias("factor"))
+
+
+def _beta_share(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta function by its continued fraction."""
+    if x <= 0 or x >= 1:
+        return 0.0 if x <= 0 else 1.0
+    if x > (a + 1) / (a + b + 2):
+        return 1 - _beta_share(b, a, 1 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    c, d, out = 1.0, 0.0, 1.0
+    for m in range(300):
+        k, odd = divmod(m, 2)
+        if m == 0:
+            step = 1.0
+        elif odd:
+            step = -(a + k) * (a + b + k) * x / ((a + 2 * k) * (a + 2 * k + 1))
+        else:
+            step = k * (b - k) * x / ((a + 2 * k - 1) * (a + 2 * k))
+        d = 1 / ((1 + step * d) or 1e-300)
+        c = (1 + step / c) or 1e-300
+        out *= c * d
+        if m and abs(1 - c * d) < 1e-14:
+            break
+    return front * (out - 1)
+
+
+def f_tail(f: float, df1: float, df2: float) -> float:
+    """P(F >= f)."""
+    return _beta_share(df2 / 2, df1 / 2, df2 / (df2 + df1 * f)) if f > 0 else 1.0
+
+
+def chi2_tail(x: float, k: float) -> float:
+    """P(chi squared with k degrees of freedom >= x), by series or continued fraction."""
+    a, x = k / 2, x / 2
+    if x <= 0:
+        return 1.0
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+    if x < a + 1:
+        term = total = 1 / a
+        n = a
+        while abs(term) > 1e-16 * total:
+            n += 1
+            term *= x / n
+            total += term
+        return 1 - total * scale
+    b, c = x + 1 - a, 1e300
+    d = out = 1 / b
+    for i in range(1, 500):
+        step = -i * (i - a)
+        b += 2
+        d, c = 1 / (step * d + b), b + step / c
+        out *= d * c
+        if abs(d * c - 1) < 1e-15:
+            break
+    return scale * out
+
+
+@F.pandas_udf(DoubleType())
+def f_p(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
+    return pd.Series([None if v is None or v != v else f_tail(v, a, b) for v, a, b in zip(f, df1, df2, strict=True)], dtype="float64")
+
+
+@F.pandas_udf(DoubleType())
+def chi2_p(x: pd.Series, k: pd.Series) -> pd.Series:
+    return pd.Series([None if v is None or v != v else chi2_tail(v, d) for v, d in zip(x, k, strict=True)], dtype="float64")
+
+
+def anova_two(rows: DataFrame, feature: str, first: str, second: str, value: str) -> DataFrame:
+    """F statistics of two factors without interaction on complete layouts (every pair of levels once), with p values: f1, f2, df1, df2, df_rest, p1, p2."""
+    v = F.col(value)
+    each = lambda by: F.avg(v).over(Window.partitionBy(feature, *by))
+    rows = rows.select(feature, first, second, v.alias(value)).withColumns({"_a": each([first]), "_b": each([second]), "_m": each([])})
+    t = rows.groupBy(feature).agg(
+        (F.count_distinct(first) - 1).cast("double").alias("df1"), (F.count_distinct(second) - 1).cast("double").alias("df2"),
+        F.sum((F.col("_a") - F.col("_m")) ** 2).alias("s1"), F.sum((F.col("_b") - F.col("_m")) ** 2).alias("s2"), F.sum((v - F.col("_a") - F.col("_b") + F.col("_m")) ** 2).alias("rest"))
+    t = t.withColumn("df_rest", F.col("df1") * F.col("df2"))
+    f = lambda s, df: (F.col(s) / F.col(df)) / F.nullif(F.col("rest") / F.col("df_rest"), F.lit(0.0))
+    t = t.withColumns({"f1": f("s1", "df1"), "f2": f("s2", "df2")})
+    return t.select(feature, "f1", "f2", "df1", "df2", "df_rest", f_p("f1", "df1", "df_rest").alias("p1"), f_p("f2", "df2", "df_rest").alias("p2"))

@@ -92,15 +92,25 @@ def only_unique(t):
     return rounded(rows.select(F.col("taxon").alias("feature"), "kind", "unique_raw"), "unique_raw")
 
 
-@query("seen_taxa", """SELECT l_orderkey, p_brand, max(l_partkey) AS last_gene, count(DISTINCT l_partkey) AS genes FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""")
+@query("seen_taxa", """
+WITH h AS (SELECT l_orderkey AS insert_id, l_linenumber % 2 + 1 AS mate, l_partkey::VARCHAR AS gene, p_brand AS taxon FROM lineitem JOIN part ON l_partkey = p_partkey),
+v AS (SELECT insert_id, 'base.' || mate AS type, gene, taxon FROM h UNION SELECT insert_id, 'insert', gene, taxon FROM h)
+SELECT insert_id, type, taxon, max(gene) AS last_gene, count(DISTINCT gene) AS genes FROM v GROUP BY ALL""")
 def seen_taxa(t):
-    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_orderkey", "p_brand").agg(F.max_by("l_partkey", "l_partkey").alias("last_gene"), F.count_distinct("l_partkey").alias("genes"))
+    return P.seen_taxa(hits(t), "brand").drop("sample")
 
 
-@query("multi_mappers", "WITH" + _shares("brand") + " SELECT ins AS insert_id, type, round(sum(share), 6) AS value, count(*) AS targets FROM s WHERE n_taxa > 1 GROUP BY ALL")
+@query("multi_mappers", "WITH" + _shares("brand") + """ SELECT ins AS insert_id, type, round(sum(share), 6) AS value, count(*) AS n_targets, min(gene) AS first_target, sum(len) AS target_length FROM s WHERE n_taxa > 1 GROUP BY ALL""")
 def multi_mappers(t):
-    rows = P.shares(hits(t), "brand").where("not alone").groupBy("insert_id", "type").agg(F.sum("share").alias("value"), F.count("*").alias("targets"))
-    return rounded(rows, "value")
+    rows = P.multi_mappers(P.shares(hits(t), "brand"))
+    lengths = F.aggregate("targets", F.lit(0.0), lambda a, x: a + x["length"])
+    return rounded(rows.select("insert_id", "type", "value", F.size("targets").cast("long").alias("n_targets"), F.get("targets", F.lit(0))["gene"].alias("first_target"), lengths.alias("target_length")), "value")
+
+
+@query("level_totals", GENE_SQL.replace("SELECT taxon AS feature", "SELECT kind, round(sum(raw), 4) AS raw, round(sum(norm), 4) AS norm, round(sum(uraw), 4) AS unique_raw, round(sum(unorm), 4) AS unique_norm, round(sum(mraw), 4) AS mm_raw, round(sum(mnorm), 4) AS mm_norm FROM f GROUP BY kind --").split("--")[0])
+def level_totals(t):
+    rows = P.level_totals(P.profile(hits(t)))
+    return rounded(rows.drop("sample"), *[f"{d}{n}" for d in ("", "unique_", "mm_") for n in ("raw", "norm")], digits=4)
 
 
 def library(t: Tables) -> DataFrame:
@@ -111,11 +121,15 @@ def library(t: Tables) -> DataFrame:
 _LIB = "l AS (SELECT 'base' AS kind, sum(l_quantity) + 1000 AS total FROM lineitem UNION ALL SELECT 'insert', count(DISTINCT l_orderkey) + 10.0::DOUBLE FROM lineitem)"
 
 
-@query("unmapped_row", "WITH" + _shares("gene") + f""", {_LIB}, m AS (SELECT kind, sum(raw) AS mapped FROM u GROUP BY kind)
-SELECT '-1' AS feature, kind, round(total - mapped, 4) AS raw, round(total - mapped, 4) AS scaled FROM l JOIN m USING (kind)""")
+_LEFT = ", ".join(f"round(total - mapped, 4) AS {d}raw, round((total - mapped) / mean, 4) AS {d}norm, round(total - mapped, 4) AS {d}scaled" for d in ("", "unique_", "mm_"))
+
+
+@query("unmapped_row", "WITH" + _shares("brand") + f""", {_LIB}, m AS (SELECT kind, sum(raw) AS mapped FROM u GROUP BY kind), x AS (SELECT avg(length) AS mean FROM (SELECT p_brand, sum(p_size) AS length FROM part GROUP BY p_brand))
+SELECT '-1' AS feature, kind, {_LEFT} FROM l JOIN m USING (kind), x""")
 def unmapped_row(t):
-    rows = P.unmapped(P.counts(P.shares(hits(t))), library(t)).drop("sample", "norm")
-    return rounded(rows, "raw", "scaled", digits=4)
+    lengths = t.part.groupBy("p_brand").agg(F.sum("p_size").alias("length"))
+    rows = P.unmapped(P.counts(P.shares(hits(t), "brand")), library(t), lengths).drop("sample")
+    return rounded(rows, *VALUES, digits=4)
 
 
 @query("coverage_stats", "WITH" + _shares("gene") + f""", {_LIB}, m AS (SELECT kind, sum(raw) AS mapped FROM u GROUP BY kind)
@@ -149,10 +163,20 @@ def horizontal_cov(t):
     return P.horizontal(spans)
 
 
+@query("functional_headers", """
+WITH g AS (SELECT l_partkey AS gene, sum(l_quantity) AS value FROM lineitem GROUP BY 1), c AS (SELECT p_partkey AS gene, p_partkey % 7 = 0 AS bare FROM part)
+SELECT 'name' AS level, (SELECT sum(l_quantity) + 1000 FROM lineitem) AS total, sum(value) AS mapped, sum(value) AS assigned_and_unassigned, sum(CASE WHEN bare THEN value ELSE 0 END) AS unassigned, sum(CASE WHEN bare THEN 0 ELSE value END) AS assigned FROM g JOIN c USING (gene)""")
+def functional_headers(t):
+    genes = t.lineitem.groupBy(F.col("l_partkey").alias("gene")).agg(F.sum("l_quantity").alias("value"))
+    cells = t.part.select(F.col("p_partkey").alias("gene"), F.lit("name").alias("level"), F.when(F.col("p_partkey") % 7 == 0, "NA").otherwise(F.replace(F.col("p_name"), F.lit(" "), F.lit(","))).alias("cell"))
+    return P.functional_headers(genes, cells, "value", t.lineitem.agg((F.sum("l_quantity") + 1000).alias("total")))
+
+
 @query("horizontal_level", """
-WITH x AS (SELECT DISTINCT p_brand, l_partkey AS gene, l_quantity::INT AS bin FROM lineitem JOIN part ON l_partkey = p_partkey),
-g AS (SELECT p_brand, gene, count(*) AS n FROM x GROUP BY ALL)
-SELECT p_brand, round(avg(n), 6) AS covered, count(*) AS genes FROM g GROUP BY p_brand""")
+WITH s AS (SELECT l_partkey AS gene, 7 * l_linenumber AS a, 7 * l_linenumber + l_quantity AS b FROM lineitem),
+x AS (SELECT DISTINCT gene, round(greatest(a - 1, 0) * 99 / 100.0)::INT AS f, round(least(b - 1, 99) * 99 / 100.0)::INT AS l FROM s),
+e AS (SELECT gene, unnest(range(f, l + 1)) AS bin FROM x WHERE l >= f), g AS (SELECT gene, count(DISTINCT bin) AS covered FROM e GROUP BY gene)
+SELECT p_brand, round(avg(coalesce(covered, 0)), 6) AS covered, count(*) AS genes FROM part LEFT JOIN g ON p_partkey = gene GROUP BY p_brand""")
 def horizontal_level(t):
-    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand", "l_partkey").agg(F.count_distinct(F.col("l_quantity").cast("int")).alias("n"))
-    return rounded(rows.groupBy("p_brand").agg(F.avg("n").alias("covered"), F.count("*").alias("genes")), "covered")
+    groups = t.part.select(F.col("p_partkey").alias("gene"), "p_brand")
+    return rounded(P.horizontal_levels(horizontal_cov(t), groups, "p_brand"), "covered")

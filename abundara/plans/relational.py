@@ -80,17 +80,21 @@ def pe_filter(t):
     return filters.mates_agree(h, ["l_orderkey"], "mate", "p_brand")
 
 
-_REGION = "SELECT p_brand AS ref, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS idx, p_size AS start, p_size + 10 AS stop FROM part WHERE p_partkey % 10 = 0"
-_ALIGN = "SELECT l_orderkey, l_linenumber, p_brand AS ref, 7 * l_linenumber AS first_base, 7 * l_linenumber + l_quantity AS last_base FROM lineitem JOIN part ON l_partkey = p_partkey"
+_REGION = "SELECT p_brand || ' ' || p_type AS ref, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY p_partkey) - 1 AS idx, p_size AS start, p_size + 10 AS stop FROM part"
+_ALIGN = "SELECT l_orderkey, l_linenumber, p_brand || ' ' || p_type AS ref, 7 * l_linenumber AS first_base, 7 * l_linenumber + l_quantity AS last_base FROM lineitem JOIN part ON l_partkey = p_partkey"
+
+
+_REF = F.concat_ws(" ", "p_brand", "p_type").alias("ref")
 
 
 def _regions(t):
-    idx = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) - 1
-    return t.part.where("p_partkey % 10 = 0").select(C("p_brand").alias("ref"), idx.alias("idx"), C("p_size").alias("start"), (C("p_size") + 10).alias("stop"))
+    """Every part is an interval on its brand and type."""
+    idx = F.row_number().over(Window.partitionBy("p_brand", "p_type").orderBy("p_partkey")) - 1
+    return t.part.select(_REF, idx.alias("idx"), C("p_size").alias("start"), (C("p_size") + 10).alias("stop"))
 
 
 def _alignments(t):
-    return t.lineitem.join(t.part, C("l_partkey") == C("p_partkey")).select("l_orderkey", "l_linenumber", C("p_brand").alias("ref"), (7 * C("l_linenumber")).alias("first_base"), (7 * C("l_linenumber") + C("l_quantity")).alias("last_base"))
+    return t.lineitem.join(t.part, C("l_partkey") == C("p_partkey")).select("l_orderkey", "l_linenumber", _REF, (7 * C("l_linenumber")).alias("first_base"), (7 * C("l_linenumber") + C("l_quantity")).alias("last_base"))
 
 
 _JOIN = f"""WITH c AS ({_REGION}), a AS ({_ALIGN})
@@ -135,13 +139,13 @@ def screen_anti(t):
 
 @query("hit_statistics", "SELECT (SELECT count(*) FROM orders) AS reads, count(*) AS hits, count(DISTINCT l_orderkey) AS queries FROM lineitem WHERE l_quantity >= 40")
 def hit_statistics(t):
-    hits = filters.hit_filter(t.lineitem, l_quantity=40).agg(F.count("*").alias("hits"), F.count_distinct("l_orderkey").alias("queries"))
+    hits = filters.hit_summary(filters.hit_filter(t.lineitem, l_quantity=40), "l_orderkey")
     return t.orders.agg(F.count("*").alias("reads")).crossJoin(hits)
 
 
 @query("subject_counts", "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_suppkey")
 def subject_counts(t):
-    return t.lineitem.groupBy("l_suppkey").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l_suppkey")
+    return filters.subject_order(t.lineitem, "l_suppkey")
 
 
 @query("blast_filter", "SELECT l_orderkey, l_partkey, l_quantity, l_extendedprice FROM lineitem WHERE l_quantity >= 20 AND l_extendedprice >= 30000 AND l_tax <= 0.04")
@@ -157,16 +161,27 @@ def not_trivial(t):
 
 @query("metadata_subset", "SELECT o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND o_orderstatus = 'F'")
 def metadata_subset(t):
-    return t.orders.where("o_orderstatus = 'F'").join(t.customer.where(C("c_mktsegment").isin("BUILDING", "MACHINERY")), C("o_custkey") == C("c_custkey"), "left_semi").select("o_orderkey")
+    samples = t.customer.withColumnRenamed("c_custkey", "o_custkey")
+    return filters.metadata_subset(t.orders.where("o_orderstatus = 'F'"), samples, "o_custkey", c_mktsegment=["BUILDING", "MACHINERY"]).select("o_orderkey")
+
+
+_LANES = "WITH c AS (SELECT l_suppkey AS lane, l_linenumber AS cycle, count(*) FILTER (l_linestatus = 'O') AS o, count(*) FILTER (l_linestatus = 'F') AS f, avg(l_quantity) AS mean, median(l_quantity) AS med FROM lineitem GROUP BY ALL)"
+_OFF = """, m AS (SELECT *, abs(o - avg(o) OVER w) > 2 * stddev_samp(o) OVER w OR abs(f - avg(f) OVER w) > 2 * stddev_samp(f) OVER w AS bad FROM c WINDOW w AS (PARTITION BY lane))
+SELECT lane, coalesce(min(cycle) FILTER (NOT coalesce(bad, false)), max(cycle) + 1) AS first_cycle FROM m GROUP BY lane"""
 
 
-@query("five_prime_cut", """
-WITH c AS (SELECT l_returnflag AS lane, l_linenumber AS cycle, sum((l_linestatus = 'O')::INT) AS o, sum((l_linestatus = 'F')::INT) AS f FROM lineitem GROUP BY ALL),
-m AS (SELECT *, abs(o - avg(o) OVER w) > 1 * stddev_samp(o) OVER w OR abs(f - avg(f) OVER w) > 1 * stddev_samp(f) OVER w AS bad FROM c WINDOW w AS (PARTITION BY lane))
-SELECT lane, coalesce(min(cycle) FILTER (NOT bad), max(cycle) + 1) AS first_cycle FROM m GROUP BY lane""")
+def _lanes(t):
+    return t.lineitem.groupBy(C("l_suppkey").alias("lane"), C("l_linenumber").alias("cycle")).agg(F.count_if(C("l_linestatus") == "O").alias("o"), F.count_if(C("l_linestatus") == "F").alias("f"), F.avg("l_quantity").alias("mean"), F.median("l_quantity").alias("med"))
+
+
+@query("five_prime_cut", _LANES + _OFF)
 def five_prime_cut(t):
-    cycles = t.lineitem.groupBy(C("l_returnflag").alias("lane"), C("l_linenumber").alias("cycle")).agg(F.count_if(C("l_linestatus") == "O").alias("o"), F.count_if(C("l_linestatus") == "F").alias("f"))
-    return filters.five_prime_cut(cycles, "lane", "cycle", ["o", "f"], deviations=1)
+    return filters.five_prime_cut(_lanes(t), "lane", "cycle", ["o", "f"])
+
+
+@query("five_prime_cut_quality", _LANES.replace("GROUP BY ALL", "GROUP BY ALL HAVING avg(l_quantity) >= 24 AND median(l_quantity) >= 24") + _OFF)
+def five_prime_cut_quality(t):
+    return filters.five_prime_cut(_lanes(t), "lane", "cycle", ["o", "f"], least_quality=24)
 
 
 @query("pair_by_header", """
@@ -178,25 +193,25 @@ def pair_by_header(t):
 
 
 @query("fastq_trim", """
-WITH d AS (SELECT doc_id, regexp_replace(text[1:60], '[^!-~]', 'J', 'g') AS q FROM documents),
+WITH d AS (SELECT doc_id, regexp_replace(text, '[^!-~]', 'J', 'g') AS q FROM documents),
 g AS (SELECT doc_id, q, list_transform(string_split(q, ''), lambda c: ascii(c) - 33) AS v FROM d),
 k AS (SELECT *, coalesce(list_max(list_transform(v, lambda x, i: CASE WHEN x >= 70 THEN i ELSE 0 END)), 0) AS n FROM g)
 SELECT doc_id, q[1:n] AS trimmed FROM k WHERE n >= 10 AND floor(100 * len(list_filter(v[1:n], lambda x: x >= 70)) / greatest(n, 1)) >= 60""")
 def fastq_trim(t):
-    rows = t.documents.select("doc_id", F.regexp_replace(F.substring("text", 1, 60), "[^!-~]", "J").alias("q"))
+    rows = t.documents.select("doc_id", F.regexp_replace("text", "[^!-~]", "J").alias("q"))
     cut = R.trim_tail(C("q"), C("q"), offset=33, least_quality=70, least_length=10, least_percent=60)
     return rows.select("doc_id", cut.alias("c")).where("c is not null").select("doc_id", C("c.qual").alias("trimmed"))
 
 
 @query("solexa_trim", """
-WITH d AS (SELECT doc_id, regexp_replace(text[1:60], '[^!-~]', 'J', 'g') AS q FROM documents),
+WITH d AS (SELECT doc_id, regexp_replace(text, '[^!-~]', 'J', 'g') AS q FROM documents),
 e AS (SELECT doc_id, q, unnest(range(1, len(q) + 1)) AS i, ascii(unnest(string_split(q, ''))) - 33 > 68 AS ok FROM d),
 r AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, ok ORDER BY i) AS g FROM e WHERE ok),
 l AS (SELECT doc_id, any_value(q) AS q, min(i) AS a, count(*) AS n FROM r GROUP BY doc_id, g),
 b AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, a) = 1)
 SELECT doc_id, q[a:a + n - 1] AS trimmed FROM b WHERE n >= 5""")
 def solexa_trim(t):
-    rows = t.documents.select("doc_id", F.regexp_replace(F.substring("text", 1, 60), "[^!-~]", "J").alias("q"))
+    rows = t.documents.select("doc_id", F.regexp_replace("text", "[^!-~]", "J").alias("q"))
     cut = R.trim_longest(C("q"), C("q"), offset=33, least_quality=68, least_length=5)
     return rows.select("doc_id", cut.alias("c")).where("c is not null").select("doc_id", C("c.qual").alias("trimmed"))
 
@@ -236,9 +251,9 @@ def scaftig_split(t):
     return t.documents.select(F.explode(R.scaftigs(C("doc_id").cast("string"), C("text"), 3)).alias("s")).select("s.*")
 
 
-@query("reverse_complement", "SELECT doc_id, translate(reverse(text[1:80]), 'ACGTacgt', 'TGCAtgca') AS rc FROM documents WHERE regexp_full_match(text[1:80], '[ -~]*')")
+@query("reverse_complement", "SELECT doc_id, translate(reverse(regexp_replace(text, '[^ -~]', 'N', 'g')), 'ACGTacgt', 'TGCAtgca') AS rc FROM documents")
 def reverse_complement(t):
-    return t.documents.select("doc_id", F.substring("text", 1, 80).alias("s")).where(C("s").rlike(r"^[ -~]*\z")).select("doc_id", R.reverse_complement(C("s")).alias("rc"))
+    return t.documents.select("doc_id", R.reverse_complement(F.regexp_replace("text", "[^ -~]", "N")).alias("rc"))
 
 
 @query("padded_coordinates", "SELECT p_partkey, greatest(1, p_size * 10 - 100) AS a, p_size * 10 + 200 AS b, p_size * 10 - greatest(1, p_size * 10 - 100) + 1 AS c, p_size * 10 + 100 - greatest(1, p_size * 10 - 100) + 1 AS d FROM part")
@@ -256,12 +271,12 @@ def overlap_share(t):
 @query("log_transforms", "SELECT l_orderkey, l_linenumber, round(log10(l_discount + 1e-8), 6) AS l8, round(log10(l_discount + 1e-6), 6) AS l6, round(asin(sqrt(l_discount)), 6) AS a FROM lineitem")
 def log_transforms(t):
     d = C("l_discount")
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.round(F.log10(d + 1e-8), 6).alias("l8"), F.round(F.log10(d + 1e-6), 6).alias("l6"), F.round(F.asin(F.sqrt(d)), 6).alias("a"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", F.round(R.log_shift(d, 1e-8), 6).alias("l8"), F.round(R.log_shift(d, 1e-6), 6).alias("l6"), F.round(R.arcsine_root(d), 6).alias("a"))
 
 
 @query("multi_value_cells", "SELECT o_custkey, array_to_string(list_sort(list_distinct(list(o_orderpriority))), '|') AS cell FROM orders GROUP BY o_custkey")
 def multi_value_cells(t):
-    return t.orders.groupBy("o_custkey").agg(F.concat_ws("|", F.array_sort(F.collect_set("o_orderpriority"))).alias("cell"))
+    return t.orders.groupBy("o_custkey").agg(R.joined_cells(R.cell_set(C("o_orderpriority"))).alias("cell"))
 
 
 @query("taxonomy_lookup", "SELECT p_brand, count(*) AS n, coalesce(sum(s_acctbal > 0), 0)::BIGINT AS positive FROM part LEFT JOIN supplier ON regexp_extract(p_partkey || '.x', '^([0-9]+)', 1)::BIGINT = s_suppkey GROUP BY p_brand")
@@ -280,12 +295,12 @@ def annotation_join(t):
 
 
 @query("full_outer_annotation_chain", """
-WITH a AS (SELECT p_partkey AS k, p_brand FROM part WHERE p_partkey % 2 = 0), b AS (SELECT s_suppkey AS k, s_name FROM supplier), c AS (SELECT p_partkey AS k, p_type FROM part WHERE p_partkey % 3 = 0)
-SELECT k, coalesce(p_brand, 'NA') AS p_brand, coalesce(s_name, 'NA') AS s_name, coalesce(p_type, 'NA') AS p_type FROM a FULL JOIN b USING (k) FULL JOIN c USING (k)""")
+WITH a AS (SELECT p_partkey AS k, p_brand FROM part), b AS (SELECT s_suppkey AS k, s_name FROM supplier), c AS (SELECT c_custkey AS k, c_mktsegment FROM customer)
+SELECT k, coalesce(p_brand, 'NA') AS p_brand, coalesce(s_name, 'NA') AS s_name, coalesce(c_mktsegment, 'NA') AS c_mktsegment FROM a FULL JOIN b USING (k) FULL JOIN c USING (k)""")
 def full_outer_annotation_chain(t):
-    a = t.part.where("p_partkey % 2 = 0").select(C("p_partkey").alias("k"), "p_brand")
+    a = t.part.select(C("p_partkey").alias("k"), "p_brand")
     b = t.supplier.select(C("s_suppkey").alias("k"), "s_name")
-    c = t.part.where("p_partkey % 3 = 0").select(C("p_partkey").alias("k"), "p_type")
+    c = t.customer.select(C("c_custkey").alias("k"), "c_mktsegment")
     return joins.annotation_chain([a, b, c], "k")
 
 
@@ -364,7 +379,10 @@ def top_tags(t):
     return rows.orderBy(F.desc("v"), "l_partkey").limit(50)
 
 
-@query("codon_translation")
+@query("codon_translation", """
+WITH d AS (SELECT doc_id, regexp_replace(upper(text), '[^ACGT]', '', 'g') AS s FROM documents)
+SELECT doc_id, coalesce(array_to_string(list_transform(range(0, length(s) // 3), lambda i:
+  'FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG'[16 * (position(s[3 * i + 1] IN 'TCAG') - 1) + 4 * (position(s[3 * i + 2] IN 'TCAG') - 1) + position(s[3 * i + 3] IN 'TCAG')]), ''), '') AS protein FROM d""")
 def codon_translation(t):
     return t.documents.select("doc_id", R.translate_codons(F.regexp_replace(F.upper("text"), "[^ACGT]", "")).alias("protein"))
 
@@ -397,21 +415,25 @@ def flag_mates(t):
     return t.lineitem.groupBy(R.flag_mate(C("l_orderkey") % 256).alias("mate")).agg(F.count("*").alias("n"))
 
 
-@query("quality_conversion", "SELECT doc_id, array_to_string(list_transform(string_split(regexp_replace(text[1:40], '[^A-Za-z]', '', 'g'), ''), lambda c: chr(ascii(c) - 31)), '') AS qual FROM documents WHERE regexp_matches(text[1:40], '[A-Za-z]')")
+@query("quality_conversion", "SELECT doc_id, array_to_string(list_transform(string_split(regexp_replace(text, '[^A-Za-z]', '', 'g'), ''), lambda c: chr(ascii(c) - 31)), '') AS qual FROM documents WHERE regexp_matches(text, '[A-Za-z]')")
 def quality_conversion(t):
-    q = F.regexp_replace(F.substring("text", 1, 40), "[^A-Za-z]", "")
+    q = F.regexp_replace("text", "[^A-Za-z]", "")
     return t.documents.select("doc_id", R.sanger_quality(q, "i").alias("qual")).where("qual <> ''")
 
 
-@query("quality_format", "SELECT lang, CASE WHEN lo < 59 THEN 's' WHEN lo < 64 THEN 'x' WHEN hi > 74 THEN 'i' ELSE 's' END AS form FROM (SELECT lang, min(ascii(text[1])) AS lo, max(ascii(text[1])) AS hi FROM documents GROUP BY lang)")
+@query("quality_format", """
+WITH q AS (SELECT lang, regexp_replace(text, '[^!-~]', '', 'g') AS q FROM documents),
+r AS (SELECT lang, min(list_min(list_transform(string_split(q, ''), lambda c: ascii(c)))) AS lo, max(list_max(list_transform(string_split(q, ''), lambda c: ascii(c)))) AS hi FROM q WHERE q <> '' GROUP BY lang)
+SELECT lang, CASE WHEN lo < 59 THEN 's' WHEN lo < 64 THEN 'x' WHEN hi > 74 THEN 'i' ELSE 's' END AS form FROM r""")
 def quality_format(t):
-    first = F.ascii(F.substring("text", 1, 1))
-    return t.documents.groupBy("lang").agg(R.quality_format(F.min(first), F.max(first)).alias("form"))
+    codes = F.transform(F.split(F.regexp_replace("text", "[^!-~]", ""), ""), F.ascii)
+    rows = t.documents.select("lang", F.filter(codes, lambda c: c > 0).alias("codes")).where(F.size("codes") > 0)
+    return rows.groupBy("lang").agg(R.quality_format(F.min(F.array_min("codes")), F.max(F.array_max("codes"))).alias("form"))
 
 
-@query("sequence_formats", "SELECT doc_id, '>' || doc_id || chr(10) || text[1:20] AS fasta, '@' || doc_id || chr(10) || text[1:20] || chr(10) || '+' || chr(10) || repeat('I', length(text[1:20])) AS fastq FROM documents")
+@query("sequence_formats", "SELECT doc_id, '>' || doc_id || chr(10) || text AS fasta, '@' || doc_id || chr(10) || text || chr(10) || '+' || chr(10) || repeat('I', length(text)) AS fastq FROM documents")
 def sequence_formats(t):
-    name, seq = C("doc_id").cast("string"), F.substring("text", 1, 20)
+    name, seq = C("doc_id").cast("string"), C("text")
     return t.documents.select("doc_id", R.fastq_to_fasta(name, seq).alias("fasta"), R.fasta_to_fastq(name, seq).alias("fastq"))
 
 
@@ -429,12 +451,15 @@ def summary_union(t):
 
 
 @query("paired_sam", """
-WITH r AS (SELECT l_orderkey AS i, l_linenumber AS m, l_suppkey % 5 AS ref, l_partkey AS pos, l_quantity::BIGINT AS len, l_linestatus = 'O' AS rev FROM lineitem WHERE l_linenumber <= 2 QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1)
+WITH r AS (SELECT l_orderkey * 1000 + l_linenumber // 2 * 100 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) AS i, l_linenumber % 2 + 1 AS m, l_suppkey % 5 AS ref, l_partkey AS pos, l_quantity::BIGINT AS len, l_linestatus = 'O' AS rev FROM lineitem)
 SELECT a.i AS insert, a.m AS mate, a.pos, 1 + CASE WHEN a.ref = b.ref THEN 2 ELSE 0 END + CASE WHEN b.i IS NULL THEN 8 ELSE 0 END + CASE WHEN a.rev THEN 16 ELSE 0 END + CASE WHEN b.rev THEN 32 ELSE 0 END + CASE WHEN a.m = 1 THEN 64 ELSE 128 END AS flag,
-coalesce(b.pos, 0) AS pnext, CASE WHEN a.ref = b.ref THEN (greatest(a.pos + a.len, b.pos + b.len) - least(a.pos, b.pos)) * CASE WHEN a.pos <= b.pos THEN 1 ELSE -1 END ELSE 0 END AS tlen FROM r a LEFT JOIN r b ON a.i = b.i AND b.m = 3 - a.m""")
+coalesce(b.pos, 0) AS pnext, CASE WHEN a.ref = b.ref THEN (greatest(a.pos + a.len, b.pos + b.len) - least(a.pos, b.pos)) * CASE WHEN a.pos <= b.pos THEN 1 ELSE -1 END ELSE 0 END AS tlen,
+CASE WHEN a.len > 1 THEN '0A' || (a.len - 1) ELSE '0A0' END AS md FROM r a LEFT JOIN r b ON a.i = b.i AND b.m = 3 - a.m""")
 def paired_sam(t):
+    """Lines 2k and 2k + 1 of an order are mates; a line number that stands more than once belongs to further inserts."""
     from abundara.sources.writers import paired_sam as run
 
-    rows = t.lineitem.where("l_linenumber <= 2").withColumn("n", F.count("*").over(Window.partitionBy("l_orderkey", "l_linenumber"))).where("n = 1")
-    rows = rows.select(C("l_orderkey").alias("insert"), C("l_linenumber").alias("mate"), (C("l_suppkey") % 5).cast("string").alias("ref"), C("l_partkey").alias("pos"), C("l_quantity").cast("long").alias("length"), F.when(C("l_linestatus") == "O", "-").otherwise("+").alias("strand"))
-    return run(rows).select("insert", "mate", "pos", "flag", "pnext", "tlen")
+    copy = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
+    insert = C("l_orderkey") * 1000 + F.floor(C("l_linenumber") / 2) * 100 + copy
+    rows = t.lineitem.select(insert.alias("insert"), (C("l_linenumber") % 2 + 1).alias("mate"), (C("l_suppkey") % 5).cast("string").alias("ref"), C("l_partkey").alias("pos"), C("l_quantity").cast("long").alias("length"), F.when(C("l_linestatus") == "O", "-").otherwise("+").alias("strand"), F.lit("0:A").alias("marks"))
+    return run(rows).select("insert", "mate", "pos", "flag", "pnext", "tlen", F.element_at("tags", "MD").alias("md"))

@@ -27,15 +27,15 @@ _FILLED = _CELLS + ", f AS (SELECT a.feature, b.sample, coalesce(m.value, 0) AS
 
 
 @query("quality_stats", """
-WITH d AS (SELECT regexp_replace(text[1:50], '[^!-~]', 'J', 'g') AS q FROM documents),
+WITH d AS (SELECT regexp_replace(text, '[^!-~]', 'J', 'g') AS q FROM documents),
 e AS (SELECT unnest(range(1, len(q) + 1)) AS cycle, ascii(unnest(string_split(q, ''))) - 33 AS q, upper(unnest(string_split(q, ''))) AS b FROM d),
 h AS (SELECT cycle, q, count(*) AS n FROM e GROUP BY ALL),
 c AS (SELECT *, sum(n) OVER (PARTITION BY cycle ORDER BY q) AS c, sum(n) OVER (PARTITION BY cycle) AS t FROM h),
 x AS (SELECT cycle, sum(n)::BIGINT AS count, min(q) AS min, max(q) AS max, sum(q * n)::BIGINT AS sum, min(q) FILTER (c > t // 4) AS q1, min(q) FILTER (c > t * 2 // 4) AS med, min(q) FILTER (c > t * 3 // 4) AS q3 FROM c GROUP BY cycle),
 b AS (SELECT cycle, sum((b = 'A')::INT)::BIGINT AS a_count, sum((b = 'C')::INT)::BIGINT AS c_count, sum((b = 'G')::INT)::BIGINT AS g_count, sum((b = 'T')::INT)::BIGINT AS t_count, sum((b = 'N')::INT)::BIGINT AS n_count FROM e GROUP BY cycle)
-SELECT *, q3 - q1 AS iqr, round(sum / count, 2) AS mean, greatest(q1 - (q3 - q1) * 3 // 2, min) AS lw, least(q3 + (q3 - q1) * 3 // 2, max) AS rw FROM x JOIN b USING (cycle)""")
+SELECT *, max(count) OVER () AS max_count, q3 - q1 AS iqr, (200 * sum + count) // (2 * count) / 100.0::DOUBLE AS mean, greatest(q1 - (q3 - q1) * 3 // 2, min) AS lw, least(q3 + (q3 - q1) * 3 // 2, max) AS rw FROM x JOIN b USING (cycle)""")
 def quality_stats(t):
-    q = F.regexp_replace(F.substring("text", 1, 50), "[^!-~]", "J")
+    q = F.regexp_replace("text", "[^!-~]", "J")
     return A.cycle_statistics(t.documents.select(q.alias("seq"), q.alias("qual")))
 
 
@@ -148,15 +148,35 @@ def bin_distribution(t):
     return rounded(A.binned_distribution(t.lineitem, "l_quantity", 5), "share")
 
 
-@query("correction_counts", "SELECT count(*) FILTER (length(p_type) = length(p_brand) AND p_type <> p_brand) AS replaced, count(*) FILTER (length(p_type) > length(p_brand)) AS added, count(*) FILTER (length(p_type) < length(p_brand)) AS removed, count(*) FILTER (abs(length(p_type) - length(p_brand)) > 10) AS large FROM part")
+_CORRECTIONS = """WITH r AS (SELECT l_returnflag AS grp, l_partkey AS contig, l_linenumber AS pos, l_quantity AS depth, CASE WHEN l_linestatus = 'O' THEN '-' ELSE '+' END || repeat('A', l_suppkey % 40) AS first,
+  CASE WHEN l_discount > 0.05 THEN '-' ELSE '+' END || repeat('C', l_partkey % 35) AS second, CASE WHEN l_linenumber % 3 > 0 THEN l_tax END AS q1, CASE WHEN l_linenumber % 3 > 0 THEN l_discount END AS q2 FROM lineitem)"""
+
+
+def _corrections(t):
+    signed = lambda minus, base, n: F.concat(F.when(minus, "-").otherwise("+"), F.repeat(F.lit(base), n.cast("int")))
+    some = C("l_linenumber") % 3 > 0
+    return t.lineitem.select(
+        C("l_returnflag").alias("grp"), C("l_partkey").alias("contig"), C("l_linenumber").alias("pos"), C("l_quantity").alias("depth"), signed(C("l_linestatus") == "O", "A", C("l_suppkey") % 40).alias("first"),
+        signed(C("l_discount") > 0.05, "C", C("l_partkey") % 35).alias("second"), F.when(some, C("l_tax")).alias("first_quality"), F.when(some, C("l_discount")).alias("second_quality"))
+
+
+@query("correction_counts", _CORRECTIONS + """, x AS (SELECT grp, q1 IS NULL AS plain, CASE WHEN q1 IS NULL THEN NULL WHEN q1 > q2 THEN first ELSE second END AS allele FROM r WHERE depth > 10)
+SELECT grp, count(*) FILTER (plain) AS replaced, count(*) FILTER (allele LIKE '+%') AS added, count(*) FILTER (allele LIKE '-%') AS removed, count(*) FILTER (length(allele) > 30) AS large,
+coalesce(sum(length(allele) - 1) FILTER (allele LIKE '+%'), 0)::BIGINT AS bases_added, coalesce(sum(length(allele) - 1) FILTER (allele LIKE '-%'), 0)::BIGINT AS bases_removed,
+coalesce(max(length(allele) - 1) FILTER (allele LIKE '+%'), 0)::INTEGER AS largest_added, coalesce(max(length(allele) - 1) FILTER (allele LIKE '-%'), 0)::INTEGER AS largest_removed FROM x GROUP BY grp""")
 def correction_counts(t):
-    return A.correction_counts(t.part.select(C("p_brand").alias("ref"), C("p_type").alias("alt")))
+    return A.correction_counts(_corrections(t), ["grp"])
+
+
+@query("majority_indels", _CORRECTIONS + """ SELECT contig, pos, CASE WHEN q1 / depth > 0.001 THEN first ELSE second END AS allele, count(*) AS n FROM r WHERE depth > 10 AND (q1 / depth > 0.001 OR q2 / depth > 0.001) GROUP BY ALL""")
+def majority_indels(t):
+    return A.majority_indels(_corrections(t), cutoff=0.001).groupBy("contig", "pos", "allele").agg(F.count("*").alias("n"))
 
 
 @query("majority_bases", """
 WITH x AS (SELECT l_orderkey, max(l_quantity) AS a, min(l_quantity) - 1 AS c, count(*) + 0.0::DOUBLE AS g, 0.0::DOUBLE AS t FROM lineitem GROUP BY 1), y AS (SELECT *, greatest(a, c, g, t) AS top FROM x)
-SELECT l_orderkey, CASE top WHEN a THEN 'A' WHEN c THEN 'C' WHEN g THEN 'G' ELSE 'T' END AS base, round(top / (a + c + g + t), 6) AS share FROM y
-WHERE g <= 10 AND top / (a + c + g + t) >= 0.7::DOUBLE AND CASE top WHEN a THEN 'A' WHEN c THEN 'C' WHEN g THEN 'G' ELSE 'T' END <> 'G'""")
+SELECT l_orderkey, CASE top WHEN g THEN 'G' WHEN c THEN 'C' WHEN t THEN 'T' ELSE 'A' END AS base, round(top / (a + c + g + t), 6) AS share FROM y
+WHERE g <= 10 AND top / (a + c + g + t) >= 0.7::DOUBLE AND CASE top WHEN g THEN 'G' WHEN c THEN 'C' WHEN t THEN 'T' ELSE 'A' END <> 'G'""")
 def majority_bases(t):
     rows = t.lineitem.groupBy("l_orderkey").agg(F.max("l_quantity").alias("a"), (F.min("l_quantity") - 1).alias("c"), F.count("*").cast("double").alias("g"), F.lit(0.0).alias("t"), F.lit("G").alias("ref"))
     return rounded(A.majority_bases(rows).select("l_orderkey", "base", "share"), "share")
@@ -266,9 +286,12 @@ def feature_ratio(t):
     return rounded(M.feature_ratio(cells(t), "Brand#11", "Brand#12"), "ratio")
 
 
-@query("pivot_matrix", _CELLS + " SELECT feature, coalesce(sum(value) FILTER (sample = 'NATION_1'), 0) AS NATION_1, coalesce(sum(value) FILTER (sample = 'NATION_2'), 0) AS NATION_2 FROM m GROUP BY feature")
+_NATIONS = [f"NATION_{n}" for n in range(25)]
+
+
+@query("pivot_matrix", _CELLS + " SELECT feature, " + ", ".join(f"coalesce(sum(value) FILTER (sample = '{n}'), 0) AS {n}" for n in _NATIONS) + " FROM m GROUP BY feature")
 def pivot_matrix(t):
-    return M.wide(cells(t), ["NATION_1", "NATION_2"])
+    return M.wide(cells(t), _NATIONS)
 
 
 _WILCOX = """WITH d AS (SELECT p_brand AS feature, l_returnflag AS g, l_quantity AS v FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag IN ('A', 'R')),
@@ -364,26 +387,26 @@ c AS (SELECT id, id AS ancestor, 0 AS steps FROM t UNION ALL SELECT c.id, t.pare
 
 @query("lineage_closure", _TREE + " SELECT id, ancestor, steps FROM c")
 def lineage_closure(t):
-    return G.lineages(tree(t), 4)
+    return G.lineages(tree(t)).withColumn("steps", C("steps").cast("int"))
 
 
 @query("lca", _TREE + """, p AS (SELECT 'c' || c_custkey AS a, 'c' || (c_custkey + 1) AS b FROM customer)
 SELECT p.a, p.b, arg_min(x.ancestor, x.steps) AS lca FROM p JOIN c x ON x.id = p.a JOIN c y ON y.id = p.b AND x.ancestor = y.ancestor GROUP BY ALL""")
 def lca(t):
     pairs = t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("a"), F.concat(F.lit("c"), C("c_custkey") + 1).alias("b"))
-    return G.common_ancestors(G.lineages(tree(t), 4), pairs)
+    return G.common_ancestors(G.lineages(tree(t)), pairs)
 
 
 @query("rank_rollup", _TREE + " SELECT c.ancestor AS id, round(sum(c_acctbal), 2) AS value FROM customer JOIN c ON c.id = 'c' || c_custkey GROUP BY 1")
 def rank_rollup(t):
     values = t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("id"), C("c_acctbal").alias("value"))
-    return rounded(G.roll_up(G.lineages(tree(t), 4), values), "value", digits=2)
+    return rounded(G.roll_up(G.lineages(tree(t)), values), "value", digits=2)
 
 
 @query("ancestor_at_rank", _TREE + " SELECT c.id, arg_min(c.ancestor, steps) AS at_rank FROM c JOIN t ON c.ancestor = t.id AND t.rank = 'region' GROUP BY c.id")
 def ancestor_at_rank(t):
     nodes = tree(t)
-    return G.at_rank(G.lineages(nodes, 4), nodes.select("id", "rank"), "region")
+    return G.at_rank(G.lineages(nodes), nodes.select("id", "rank"), "region")
 
 
 @query("tree_leaves", _TREE + " SELECT id FROM t WHERE id NOT IN (SELECT parent FROM t WHERE parent IS NOT NULL)")
@@ -395,12 +418,17 @@ def tree_leaves(t):
 def tree_prune(t):
     nodes = tree(t)
     keep = t.customer.where("c_mktsegment = 'BUILDING'").select(F.concat(F.lit("c"), "c_custkey").alias("id"))
-    return G.prune(nodes, G.lineages(nodes, 4), keep).select("id", "rank")
+    return G.prune(nodes, G.lineages(nodes), keep).select("id", "rank")
 
 
-@query("module_rollup", "SELECT p_type, p_brand, sum(l_quantity) AS value, count(DISTINCT l_partkey) AS members FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL")
+@query("module_rollup", """
+WITH v AS (SELECT l_partkey AS k, sum(l_quantity) AS value FROM lineitem GROUP BY 1), p AS (SELECT DISTINCT p_partkey AS k, unnest(string_split(p_name, ' ')) AS module FROM part)
+SELECT module, sum(value) AS value, count(DISTINCT k) AS members FROM v JOIN p USING (k) GROUP BY module""")
 def module_rollup(t):
-    return t.lineitem.join(t.part, C("l_partkey") == C("p_partkey")).groupBy("p_type", "p_brand").agg(F.sum("l_quantity").alias("value"), F.count_distinct("l_partkey").alias("members"))
+    from abundara.operators.joins import many_to_many
+
+    values = t.lineitem.groupBy(C("l_partkey").alias("k")).agg(F.sum("l_quantity").alias("value"))
+    return many_to_many(values, t.part.select(C("p_partkey").alias("k"), F.explode(F.split("p_name", " ")).alias("module")), "k", "module", "value")
 
 
 @query("rarefy")

@@ -19,6 +19,32 @@ def long_profile(rows: DataFrame, level: str) -> DataFrame:
     return rows.select("sample", F.lit(level).alias("level"), "feature", F.col("kind").alias("count_type"), F.explode(F.array(*cells)).alias("c")).select("sample", "level", "feature", "count_type", "c.*")
 
 
+def long_horizontal(covered: DataFrame, level: str, sample: str) -> DataFrame:
+    """Horizontal coverage (feature, covered) in the form of a long profile."""
+    cell = {"level": level, "count_type": "horizontal", "dist_type": "plain", "norm_type": "covered"}
+    return covered.select(F.lit(sample).alias("sample"), F.lit(cell["level"]).alias("level"), "feature", *[F.lit(cell[c]).alias(c) for c in ("count_type", "dist_type", "norm_type")], F.col("covered").cast("double").alias("value"))
+
+
+def unique_names(profile: DataFrame, coordinates: DataFrame) -> DataFrame:
+    """Features of interval profiles (ref, idx) by their unique names ref_start_stop."""
+    named = coordinates.select("ref", "idx", F.concat_ws("_", "ref", F.col("start").cast("string"), F.col("stop").cast("string")).alias("feature"))
+    return profile.join(named, ["ref", "idx"]).drop("ref", "idx")
+
+
+def read_member(spark, path: str, **member) -> DataFrame:
+    """One part of a written profile (level, count_type, dist_type, norm_type): other parts' files are not opened."""
+    rows = spark.read.parquet(path)
+    for c, v in member.items():
+        rows = rows.where(F.col(c) == v)
+    return rows
+
+
+def write_stats(stats: DataFrame, path: str, columns: list[str] | None = None) -> None:
+    """A small table of statistics as one tab-separated file with a header; more runs append."""
+    names = columns or stats.columns
+    stats.select(*names).coalesce(1).write.mode("append").option("header", True).option("sep", "\t").csv(path)
+
+
 def write_fastq(reads: DataFrame, path: str, by: str | None = None) -> None:
     """Reads (header, seq, qual) as gzipped FASTQ text, one folder a value of ``by``."""
     text = F.concat(F.lit("@"), "header", F.lit("\n"), "seq", F.lit("\n+\n"), "qual")
@@ -73,7 +99,9 @@ def save_summary(summary: DataFrame, name: str) -> None:
 
 
 def paired_sam(pairs: DataFrame) -> DataFrame:
-    """Flags, mate places and insert sizes for rows (insert, mate, ref, pos, length, strand) whose mates may be joined."""
+    """Flags, mate places and insert sizes for rows (insert, mate, ref, pos, length, strand) whose mates may be joined; with marks also MD and NM tags."""
+    from abundara.functions.reads import mismatch_tag
+
     other = pairs.select(F.col("insert").alias("_i"), (3 - F.col("mate")).alias("_m"), F.col("ref").alias("_ref"), F.col("pos").alias("_pos"), F.col("length").alias("_len"), F.col("strand").alias("_strand"))
     rows = pairs.join(other, (F.col("insert") == F.col("_i")) & (F.col("mate") == F.col("_m")), "left")
     found, same = F.col("_i").isNotNull(), F.col("ref") == F.col("_ref")
@@ -81,4 +109,5 @@ def paired_sam(pairs: DataFrame) -> DataFrame:
     flag = F.lit(1).bitwiseOR(F.when(found & same, 2).otherwise(0)).bitwiseOR(F.when(found, 0).otherwise(8)).bitwiseOR(reverse).bitwiseOR(F.when(found, mate_reverse).otherwise(0)).bitwiseOR(F.when(F.col("mate") == 1, 64).otherwise(128))
     left, right = F.least("pos", "_pos"), F.greatest(F.col("pos") + F.col("length"), F.col("_pos") + F.col("_len"))
     size = F.when(found & same, F.when(F.col("pos") <= F.col("_pos"), right - left).otherwise(left - right)).otherwise(0)
-    return rows.select("insert", "mate", "ref", "pos", flag.alias("flag"), F.when(found, F.when(same, "=").otherwise(F.col("_ref"))).otherwise("*").alias("rnext"), F.coalesce("_pos", F.lit(0)).alias("pnext"), size.alias("tlen"))
+    tags = F.create_map(F.lit("MD"), mismatch_tag(F.col("marks"), F.col("length")), F.lit("NM"), F.size(F.filter(F.split(F.coalesce("marks", F.lit("")), ","), lambda m: m != "")).cast("string")) if "marks" in pairs.columns else None
+    return rows.select("insert", "mate", "ref", "pos", flag.alias("flag"), *([tags.alias("tags")] if tags is not None else []), F.when(found, F.when(same, "=").otherwise(F.col("_ref"))).otherwise("*").alias("rnext"), F.coalesce("_pos", F.lit(0)).alias("pnext"), size.alias("tlen"))
