@@ -203,6 +203,7 @@ def anova_two(rows: DataFrame, feature: str, first: str, second: str, value: str
         (F.count_distinct(first) - 1).cast("double").alias("df1"), (F.count_distinct(second) - 1).cast("double").alias("df2"),
         F.sum((F.col("_a") - F.col("_m")) ** 2).alias("s1"), F.sum((F.col("_b") - F.col("_m")) ** 2).alias("s2"), F.sum((v - F.col("_a") - F.col("_b") + F.col("_m")) ** 2).alias("rest"))
     t = t.withColumn("df_rest", F.col("df1") * F.col("df2"))
-    f = lambda s, df: (F.col(s) / F.col(df)) / F.nullif(F.col("rest") / F.col("df_rest"), F.lit(0.0))
+    over = lambda x, n: x / F.nullif(n, F.lit(0.0))
+    f = lambda s, df: over(over(F.col(s), F.col(df)), over(F.col("rest"), F.col("df_rest")))
     t = t.withColumns({"f1": f("s1", "df1"), "f2": f("s2", "df2")})
     return t.select(feature, "f1", "f2", "df1", "df2", "df_rest", f_p("f1", "df1", "df_rest").alias("p1"), f_p("f2", "df2", "df_rest").alias("p2"))

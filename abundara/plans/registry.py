@@ -33,7 +33,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from abundara.plans import profiles, relational, statistics  # noqa: F401  they register on import
+    from abundara.plans import files, more, profiles, relational, statistics  # noqa: F401  they register on import
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
