@@ -7,12 +7,13 @@ digests of what they stand for, so all tasks agree on them without an exchange,
 substrings get equal symbols except near their ends.
 
 For each symbol the parse also keeps its support, the stretch of words that decides it.
-A window's anchor is its symbol of the highest level whose support lies inside the window
-(the least name of these), taken together with the words that follow or precede it in the
-window up to ``context`` words, or the window's own digest if there is no such symbol.  The
-anchor is a function of the window's words alone, so equal windows have equal anchors:
-looking only at anchors that two texts share loses nothing.  Windows at shared anchors are
-then compared by 128-bit digests of their words.
+A window's interior symbols are those whose support lies inside it; equal windows have equal
+ones.  Its anchor is ``symbols`` of them in a row, of the highest level that has so many: the
+one of the least name and its followers (its predecessors at the window's end), or the window's
+own digest if no level has any.  The anchor is a function of the window's words alone, so
+looking only at anchors that two texts share loses nothing.  Windows at shared anchors are then
+compared by 128-bit digests of their words.  Windows of 13 words leave room for two rounds of
+pairs, that is for symbols of up to four runs.
 
 Anchors, windows and texts are joined by key; first occurrences are grouped minima
 combined before the shuffle, and a hot anchor's or window's rows are split by adaptive
@@ -65,7 +66,7 @@ def parse(words: np.ndarray, starts: np.ndarray, rounds: int):
     lo, hi, head = s - 1, e + 1, first[s]
     levels = [(name, lo, hi, s)]
     for level in range(1, rounds + 1):
-        left = (_mix(name + np.uint64(level) * _ADD) & np.uint64(1)).astype(bool)
+        left = (_mix(name + np.uint64(level * int(_ADD) % (1 << 64))) & np.uint64(1)).astype(bool)
         joins = np.zeros(len(name), bool)
         joins[:-1] = left[:-1] & ~left[1:] & ~head[1:]
         second = np.zeros(len(name), bool)
@@ -102,38 +103,41 @@ def window_digest(words: np.ndarray, at: np.ndarray, window: int, salt: int) ->
     return total
 
 
-def anchors(words: np.ndarray, starts: np.ndarray, window: int, rounds: int, context: int) -> tuple[np.ndarray, np.ndarray]:
+def anchors(words: np.ndarray, starts: np.ndarray, window: int, rounds: int, symbols: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions that start a window, and each window's anchor."""
     n = len(words)
     at = np.flatnonzero(window_starts(starts, window))
-    place = np.zeros(len(at), np.int64)
+    best = np.zeros(len(at), np.uint64)
     open_ = np.arange(len(at))
     levels = parse(words, starts, rounds) if len(at) else []
-    for level, (name, lo, hi, start) in reversed(list(enumerate(levels))):
+    for level, (name, lo, hi, _) in reversed(list(enumerate(levels))):
         if not len(open_):
             break
         before = np.cumsum(np.bincount(lo + 1, minlength=n + 2))
         ends = np.cumsum(np.bincount(np.minimum(hi, n + 1), minlength=n + 2))
         w = at[open_]
-        first, last = before[w], ends[np.minimum(w + window, n + 1)] - 1
-        some = first <= last
-        rank = _mix(name + np.uint64(level + 1) * _MUL)
+        first, last = before[w], ends[np.minimum(w + window, n + 1)] - 1  # the symbols whose support lies in the window
+        some = last - first >= (symbols - 1 if level else 0)
+        rank = _mix(name + np.uint64((level + 1) * int(_MUL) % (1 << 64)))
         got, first, last = open_[some], first[some], last[some]
-        least, where = rank[first], start[first]
+        least, where = rank[first], first.copy()
         k = 1
         more = np.flatnonzero(first + k <= last)
         while len(more):
             other = rank[first[more] + k]
             better = more[other < least[more]]
             least[more] = np.minimum(least[more], other)
-            where[better] = start[first[better] + k]
+            where[better] = first[better] + k
             k += 1
             more = more[first[more] + k <= last[more]]
-        place[got] = where
+        # the symbol of the least name and those after it, or before it at the window's end
+        begin = np.maximum(first, np.minimum(where, last - symbols + 1))
+        total = np.full(len(got), level + 1, np.uint64)
+        for k in range(symbols):
+            there = begin + k <= last
+            total = np.where(there, _mix(total * _MIX + name[np.minimum(begin + k, len(name) - 1)]), total)
+        best[got] = total
         open_ = open_[~some]
-    begin = np.where(place + context <= at + window, place, place - context + 1)
-    begin[open_] = at[open_]
-    best = window_digest(words, begin, context, 3)
     if len(open_):
         best[open_] = window_digest(words, at[open_], window, 7)
     return at, best
@@ -153,7 +157,7 @@ def _stretches(batches, width: int):
         yield held
 
 
-def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13, rounds: int = 2, context: int = 7) -> DataFrame:
+def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13, rounds: int = 2, symbols: int = 3) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256 and removed.
 
     ``removed`` holds the starts (in words, from 0) of windows whose words also start in a
@@ -162,8 +166,6 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     null id keep everything and remove nothing elsewhere; repeated rows share an id and so
     do not remove each other; other columns are ignored; an empty table gives an empty result.
     """
-    if not 1 <= context <= (window + 1) // 2:
-        raise ValueError("context must be at most half a window, rounded up")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
     source = source.select("doc_id", F.xxhash64("text").alias("row"), "text")
 
@@ -171,7 +173,7 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         serial = TaskContext.get().partitionId() << 40
         for rows in _stretches(batches, 2):
             names, starts = word_names([r[2] for r in rows])
-            at, best = anchors(names, starts, window, rounds, context)
+            at, best = anchors(names, starts, window, rounds, symbols)
             cuts = np.searchsorted(at, starts)
             out = [np.unique(best[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int32)
@@ -191,7 +193,7 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     def compare(batches):
         for rows in _stretches(batches, 3):
             names, starts = word_names([r[3] for r in rows])
-            at, best = anchors(names, starts, window, rounds, context)
+            at, best = anchors(names, starts, window, rounds, symbols)
             cuts = np.searchsorted(at, starts)
             hits = []
             for a, b, r in zip(cuts[:-1], cuts[1:], rows, strict=True):
