@@ -24,6 +24,7 @@ import array
 import json
 import re
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -48,12 +49,11 @@ class ChunkEncoder(dict):
     space between white space, or the literal text of a special token, are encoded whole.
     """
 
-    def __init__(self, path: str, max_entries: int = 700_000):
+    def __init__(self, path: str, max_entries: int = 250_000):
         import tiktoken
-        from tokenizers import Tokenizer
 
         super().__init__()
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
@@ -69,6 +69,13 @@ class ChunkEncoder(dict):
         self.odd = re.compile(r"\s \s").search
         self.max_entries = max_entries
 
+    @cached_property
+    def whole(self):
+        """The tokeniser itself, loaded only where a text needs it: it takes much memory."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __missing__(self, chunk: str) -> bytes:
         mark = self.marks.get(chunk[-1:], b"")
         body = chunk[:-1] if mark else chunk
