@@ -173,8 +173,13 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, goal: np.ndarray, round
     now = loss(w)
     for _ in range(rounds):
         active = margin(w) < goal
-        xa = x[active] * np.sqrt(cost[active])[:, None].astype(np.float32)
-        step = np.linalg.solve(np.diag(ridge) + xa.T @ xa, xa.T @ (np.sqrt(cost) * y * goal)[active].astype(np.float32)) - w
+        left, right = np.diag(ridge), np.zeros(x.shape[1])
+        for k in range(0, len(x), 2048):  # a few rows at a time: no second copy of x
+            some = np.flatnonzero(active[k : k + 2048]) + k
+            xa = x[some] * np.sqrt(cost[some])[:, None].astype(np.float32)
+            left += xa.T @ xa
+            right += xa.T @ (np.sqrt(cost) * y * goal)[some].astype(np.float32)
+        step = np.linalg.solve(left, right) - w
         size = 1.0
         while size > 1e-4 and loss(w + size * step) > now:
             size /= 2
@@ -218,7 +223,7 @@ def _groups(texts: list[str], size: int = 1 << 19):
 
 def _ends(texts: list[str], words: int) -> np.ndarray:
     """Whether a sentence ends after each word, by evenly spreading a text's sentence ends where words were joined."""
-    out = np.zeros(words, np.int64)
+    out = np.zeros(words, np.int32)
     at = 0
     for text in texts:
         code, _ = stream([text])
@@ -257,15 +262,16 @@ def fit(texts: list[str], toxic: list[bool], *, landmarks: int = 512, rounds: in
         start = np.flatnonzero((code[1:] != 0) & (code[:-1] == 0)) + 1
         end = np.flatnonzero((code[1:] == 0) & (code[:-1] != 0)) + 1
         raw = code.tobytes()
-        kind.append(np.fromiter((kinds.setdefault(raw[a:b], len(kinds)) for a, b in zip(start.tolist(), end.tolist(), strict=True)), np.int64, len(start)))
-        doc.append(done + np.searchsorted(at, start, side="right") - 1)
+        kind.append(np.fromiter((kinds.setdefault(raw[a:b], len(kinds)) for a, b in zip(start.tolist(), end.tolist(), strict=True)), np.int32, len(start)))
+        doc.append((done + np.searchsorted(at, start, side="right") - 1).astype(np.int32))
         codes.append(code)
         done += len(group)
     kind, doc = np.concatenate(kind), np.concatenate(doc)
     pairs = np.unique(kind.astype(np.int64) * len(y) + doc)
-    of, where = pairs // len(y), pairs % len(y)
+    of, where = (pairs // len(y)).astype(np.int32), (pairs % len(y)).astype(np.int32)
+    del pairs
     hits, all_ = np.bincount(of, y[where], len(kinds)), np.bincount(of, minlength=len(kinds))
-    odds = np.log((hits + 0.1) / (y.sum() + 1)) - np.log((all_ - hits + 0.1) / ((~y).sum() + 1))
+    odds = (np.log((hits + 0.1) / (y.sum() + 1)) - np.log((all_ - hits + 0.1) / ((~y).sum() + 1))).astype(np.float32)
     share = y.mean()
     excess = (hits - share * all_) / np.sqrt(share * (1 - share) * all_)  # in standard deviations
     tied = np.where((excess >= 5.5) & (odds >= 2), excess, 0)
@@ -295,17 +301,20 @@ def fit(texts: list[str], toxic: list[bool], *, landmarks: int = 512, rounds: in
         return used, phi @ (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
 
     def embed(ids, used, basis):
-        out = np.zeros((len(ids), basis.shape[1]), np.float32)
+        """Rows of the words in the span, with a last column of ones."""
+        out = np.ones((len(ids), basis.shape[1] + 1), np.float32)
+        out[:, :-1] = 0
         for k in range(0, len(ids), 256):
             r, n, w = table(ids[k : k + 256])
             spot = np.minimum(np.searchsorted(used, n), len(used) - 1)
             order = np.argsort(r, kind="stable")
             part = basis[spot[order]] * (w * (used[spot] == n))[order, None].astype(np.float32)
-            out[k : k + 256][r[order][np.append(True, np.diff(r[order]) > 0)]] = np.add.reduceat(part, np.flatnonzero(np.append(True, np.diff(r[order]) > 0)))
+            out[k : k + 256, :-1][r[order][np.append(True, np.diff(r[order]) > 0)]] = np.add.reduceat(part, np.flatnonzero(np.append(True, np.diff(r[order]) > 0)))
         return out
 
     # a sentence ends at a line end or full stop; it inherits its text's label, and which of its words carry it is latent
-    sentence = np.concatenate([[0], np.cumsum(_ends(texts, len(kind)))])[:-1] + doc
+    sentence = (np.concatenate([[0], np.cumsum(_ends(texts, len(kind)))])[:-1] + doc).astype(np.int32)
+    del of, where
     plain_words = np.unique(plain[odds[plain] < 0.5])
     value, weights, bias = odds[kind], np.zeros(SIDE**3, np.float32), 0.0
     pool = np.zeros(0, np.int64)
@@ -334,7 +343,7 @@ def fit(texts: list[str], toxic: list[bool], *, landmarks: int = 512, rounds: in
         mistaken = rest[: 4 * landmarks]
         mistaken = mistaken[np.sort(np.unique(mistaken, return_index=True)[1])][: landmarks // 2]
         used, basis = space(np.unique(np.concatenate([chosen, plain, kind[lost], mistaken, gaps_toxic[::4]])))
-        x = np.hstack([embed(ids, used, basis), np.ones((len(ids), 1), np.float32)])
+        x = embed(ids, used, basis)
         worth = np.sqrt(np.maximum(hits[positive], 1))
         gap_cost = (np.full(len(g), 2 / max(1, len(g))) for g in (gaps_toxic, gaps_plain))
         cost = np.concatenate([worth / worth.sum(), next(gap_cost), np.sqrt(times) / np.sqrt(times).sum(), next(gap_cost)]) * penalty
