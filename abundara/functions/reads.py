@@ -206,9 +206,7 @@ def synonymous_sites(codon: str) -> float:
 
 def codons(sequence: Column) -> Column:
     """Whole codons of a coding sequence in capitals; a rest of one or two bases is left out."""
-    n = F.floor(F.length(sequence) / 3).cast("int")
-    empty = F.array().cast("array<string>")
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.upper(F.substring(sequence, i * 3 + 1, F.lit(3))))).otherwise(empty)
+    return F.regexp_extract_all(F.upper(sequence), F.lit("(?s).{3}"), F.lit(0))
 
 
 def synonymous(first: Column, second: Column) -> Column:

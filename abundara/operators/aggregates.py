@@ -9,8 +9,10 @@ from pyspark.sql import Window
 
 def cycle_statistics(reads: DataFrame, *, offset: int = 33) -> DataFrame:
     """Per cycle of (seq, qual): count (and the largest of any cycle), extremes, mean, quartiles by cumulated histogram, whiskers and base counts."""
-    cells = reads.select(F.posexplode(F.split("qual", "")).alias("at", "q"), "seq").where("q <> ''")
-    cells = cells.select((F.col("at") + 1).alias("cycle"), (F.ascii("q") - offset).alias("q"), F.upper(F.substring("seq", F.col("at") + 1, F.lit(1))).alias("base"))
+    letters = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
+    pairs = F.arrays_zip(letters("qual").alias("q"), letters("seq").alias("b"))
+    cells = reads.select(F.posexplode(pairs).alias("at", "x")).where("x.q is not null")
+    cells = cells.select((F.col("at") + 1).alias("cycle"), (F.ascii("x.q") - offset).alias("q"), F.upper(F.coalesce("x.b", F.lit(""))).alias("base"))
     bars = cells.groupBy("cycle", "q").agg(F.count("*").alias("rows"), *[F.count_if(F.col("base") == b).alias(f"base_{b}") for b in "ACGTN"])
     upto = Window.partitionBy("cycle").orderBy("q")
     whole = Window.partitionBy("cycle")
