@@ -84,17 +84,18 @@ _REGION = "SELECT p_brand || ' ' || p_type AS ref, row_number() OVER (PARTITION
 _ALIGN = "SELECT l_orderkey, l_linenumber, p_brand || ' ' || p_type AS ref, 7 * l_linenumber AS first_base, 7 * l_linenumber + l_quantity AS last_base FROM lineitem JOIN part ON l_partkey = p_partkey"
 
 
-_REF = F.concat_ws(" ", "p_brand", "p_type").alias("ref")
+def _ref():
+    return F.concat_ws(" ", "p_brand", "p_type").alias("ref")
 
 
 def _regions(t):
     """Every part is an interval on its brand and type."""
     idx = F.row_number().over(Window.partitionBy("p_brand", "p_type").orderBy("p_partkey")) - 1
-    return t.part.select(_REF, idx.alias("idx"), C("p_size").alias("start"), (C("p_size") + 10).alias("stop"))
+    return t.part.select(_ref(), idx.alias("idx"), C("p_size").alias("start"), (C("p_size") + 10).alias("stop"))
 
 
 def _alignments(t):
-    return t.lineitem.join(t.part, C("l_partkey") == C("p_partkey")).select("l_orderkey", "l_linenumber", _REF, (7 * C("l_linenumber")).alias("first_base"), (7 * C("l_linenumber") + C("l_quantity")).alias("last_base"))
+    return t.lineitem.join(t.part, C("l_partkey") == C("p_partkey")).select("l_orderkey", "l_linenumber", _ref(), (7 * C("l_linenumber")).alias("first_base"), (7 * C("l_linenumber") + C("l_quantity")).alias("last_base"))
 
 
 _JOIN = f"""WITH c AS ({_REGION}), a AS ({_ALIGN})

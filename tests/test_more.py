@@ -200,3 +200,12 @@ def test_functional_mode_sums_the_gene_level(spark):
 
 def test_every_query_has_one_form():
     assert set(registry.oracle_sql()) <= set(registry.queries())
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert len(e.oracle_sql()) <= len(e.queries())"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1], timeout=120)
