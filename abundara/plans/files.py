@@ -225,7 +225,7 @@ WITH g AS (SELECT l_partkey::VARCHAR AS feature FROM lineitem GROUP BY 1) SELECT
 def profile_sink(t):
     """A profile written in parts with its horizontal coverage; one part is read."""
     path = place(t, "profile")
-    times = hits(t).groupBy("sample", C("gene").alias("feature")).agg(F.count_distinct("insert_id").cast("double").alias("value"))
+    times = hits(t).withColumn("sample", F.lit("s")).groupBy("sample", C("gene").alias("feature")).agg(F.count_distinct("insert_id").cast("double").alias("value"))
     part = times.select("sample", F.lit("gene").alias("level"), "feature", F.lit("insert").alias("count_type"), F.lit("plain").alias("dist_type"), F.lit("times").alias("norm_type"), "value")
     flat = writers.long_horizontal(t.part.select(C("p_partkey").cast("string").alias("feature"), C("p_size").alias("covered")), "gene", "s")
     writers.write_profile(part.unionByName(flat), path)
