@@ -218,11 +218,19 @@ def majority_indels(rows: DataFrame, *, cutoff: float, min_depth: int = 10) -> D
     return rows.where(F.col("depth") > min_depth).withColumn("allele", allele).where("allele is not null").select("contig", "pos", "allele")
 
 
-def patch_sequences(contigs: DataFrame, changes: DataFrame) -> DataFrame:
-    """Contigs (contig, seq) with single-base changes (contig, pos, base) put in, by array functions alone."""
-    lists = changes.groupBy("contig").agg(F.map_from_entries(F.collect_list(F.struct(F.col("pos").cast("int"), "base"))).alias("changes"))
+def patch_sequences(contigs: DataFrame, changes: DataFrame, *, chunk: int = 1000) -> DataFrame:
+    """Contigs (contig, seq) with single-base changes (contig, pos, base) put in, one change a position.
+
+    Contigs are cut into chunks that meet their own changes only, so work grows with the length and not with length times changes.
+    """
+    parts = contigs.select("contig", F.posexplode_outer(F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))).alias("part", "seq"))
+    place = F.col("pos").cast("int") - 1
+    entry = F.struct((place % chunk + 1).alias("pos"), "base")
+    lists = changes.groupBy("contig", F.floor(place / chunk).cast("int").alias("part")).agg(F.map_from_entries(F.collect_list(entry)).alias("changes"))
     bases = F.transform(F.split("seq", ""), lambda b, i: F.coalesce(F.element_at("changes", i + 1), b))
-    return contigs.join(lists, "contig", "left").select("contig", F.when(F.col("changes").isNull(), F.col("seq")).otherwise(F.array_join(bases, "")).alias("seq"))
+    patched = parts.join(lists, ["contig", "part"], "left").withColumn("seq", F.when(F.col("changes").isNull(), F.col("seq")).otherwise(F.array_join(bases, "")))
+    text = F.transform(F.sort_array(F.collect_list(F.struct("part", "seq"))), lambda x: F.coalesce(x["seq"], F.lit("")))
+    return patched.groupBy("contig").agg(F.array_join(text, "").alias("seq"))
 
 
 def size_normalised(rows: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -209,3 +209,12 @@ def test_queries_are_listed_without_a_session():
 
     code = "import __spark_entry__ as e; assert len(e.oracle_sql()) <= len(e.queries())"
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1], timeout=120)
+
+
+def test_patches_across_chunks(spark):
+    from abundara.operators.aggregates import patch_sequences
+
+    contigs = spark.createDataFrame([(1, "ACGTACGTAC"), (2, ""), (3, "GGG")], "contig int, seq string")
+    changes = spark.createDataFrame([(1, 1, "T"), (1, 4, "A"), (1, 5, "C"), (1, 10, "G"), (9, 1, "A")], "contig int, pos long, base string")
+    for chunk in (1, 4, 1000):
+        assert {r.contig: r.seq for r in patch_sequences(contigs, changes, chunk=chunk).collect()} == {1: "TCGACCGTAG", 2: "", 3: "GGG"}
