@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from abundara.functions.reads import cigar_project, kmer_size, read_stem
 
@@ -71,7 +73,15 @@ def five_prime_cut(cycles: DataFrame, lane: str, cycle: str, bases: list[str], *
     if least_quality is not None:
         cycles = cycles.where((F.col("mean") >= least_quality) & (F.col("med") >= least_quality))
     w = Window.partitionBy(lane)
-    off = reduce(Column.__or__, [F.abs(F.col(b) - F.avg(b).over(w)) > deviations * F.stddev_samp(b).over(w) for b in bases])
+    # with d = n x - sum the test is d^2 (n - 1) > deviations^2 * sum of d^2: whole numbers for counts, so no rounding decides a tie
+    times = Fraction(str(deviations))
+    offs = []
+    for k, b in enumerate(bases):
+        whole = isinstance(cycles.schema[b].dataType, (ByteType, ShortType, IntegerType, LongType))
+        x, d = F.col(b).cast("decimal(38,0)" if whole else "double"), F.col(f"_d{k}")
+        cycles = cycles.withColumn(f"_d{k}", F.count(b).over(w) * x - F.sum(x).over(w))
+        offs.append(d * d * (F.count(b).over(w) - 1) * F.lit(times.denominator**2) > F.lit(times.numerator**2) * F.sum(d * d).over(w))
+    off = reduce(Column.__or__, offs)
     marked = cycles.withColumn("_off", F.coalesce(off, F.lit(False)))
     return marked.groupBy(lane).agg(F.coalesce(F.min(F.when(~F.col("_off"), F.col(cycle))), F.max(cycle) + 1).alias("first_cycle"))
 
