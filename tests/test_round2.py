@@ -2,9 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from abundara.operators import filters
+from abundara.operators import filters, joins
 
 
 def test_five_prime_tie(spark):
@@ -21,3 +22,24 @@ def test_five_prime_tie(spark):
     off = spark.createDataFrame([(0, c, 5, n + (c == 1)) for c, n in enumerate(f, 1)], "lane int, cycle int, o long, f long")
     assert filters.five_prime_cut(off, "lane", "cycle", ["o", "f"]).first().first_cycle == 2
 
+
+def _places(spark):
+    """100,000 rows and 50,000 intervals on few places of one reference: 1.5e9 pairs that meet."""
+    rows = spark.range(100_000).selectExpr("CAST(id AS INT) AS n", "'r' AS ref", "CAST(7 * (id % 7) AS INT) AS first_base", "7 * (id % 7) + CAST(id % 50 AS DOUBLE) AS last_base")
+    intervals = spark.range(50_000).selectExpr("'r' AS ref", "CAST(id AS INT) AS idx", "CAST(id % 50 AS INT) AS start", "CAST(id % 50 + 10 AS INT) AS stop")
+    return rows, intervals
+
+
+def _want(spans, start, stop):
+    met = [min(b, stop) - max(a, start) + 1 for a, b in spans if a <= stop and b >= start]
+    return len(met), sum(met)
+
+
+@pytest.mark.parametrize("width", [None])
+def test_interval_totals(spark, width):
+    rows, intervals = _places(spark)
+    got = joins.interval_totals(rows, intervals, width=width).collect()
+    spans = [(7 * (n % 7), 7 * (n % 7) + n % 50) for n in range(100_000)]
+    want = {s: _want(spans, s, s + 10) for s in range(50)}
+    assert len(got) == sum(1 for i in range(50_000) if want[i % 50][0]) and all((r.n, r.covered) == want[r.idx % 50] for r in got)
+
