@@ -43,3 +43,7 @@ def test_interval_totals(spark, width):
     want = {s: _want(spans, s, s + 10) for s in range(50)}
     assert len(got) == sum(1 for i in range(50_000) if want[i % 50][0]) and all((r.n, r.covered) == want[r.idx % 50] for r in got)
 
+
+def test_interval_totals_binned(spark):
+    test_interval_totals(spark, 16)
+
