@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from abundara.functions.reads import cigar_project, kmer_size, read_stem
+from abundara.operators.scratch import kept
 
 
 def length_identity(rows: DataFrame, length: str, identity: str, *, least_length: float = 45, least_identity: float = 95) -> DataFrame:
@@ -38,6 +39,20 @@ def in_regions(rows: DataFrame, regions: DataFrame, ref: str, first: str, last:
     return rows.join(regions, hit, "left_semi" if once else "inner").select(*rows.columns)
 
 
+def region_times(rows: DataFrame, regions: DataFrame, ref: str, first: str, last: str) -> DataFrame:
+    """Rows that overlap a region (ref, start, stop), each once, with ``times``, the number of regions it overlaps.
+
+    Each distinct place of rows meets each distinct place of regions once; rows get their
+    place's number by equality.
+    """
+    place = [ref, first, last]
+    regions = regions.groupBy(F.col("ref").alias("_ref"), F.col("start").alias("_start"), F.col("stop").alias("_stop")).agg(F.count("*").alias("_same"))
+    hit = (F.col(ref) == F.col("_ref")) & (F.col(first) <= F.col("_stop")) & (F.col(last) >= F.col("_start"))
+    times = kept(rows.select(*place).distinct().join(regions, hit).groupBy(*place).agg(F.sum("_same").alias("times")))
+    few = times.count() <= 250_000  # one name and three numbers a row
+    return rows.join(F.broadcast(times) if few else times, place).select(*rows.columns, "times")
+
+
 def screen(reads: DataFrame, hits: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(extracted, screened): reads whose key is hit, and the others."""
     found = hits.select(key).distinct()

@@ -47,3 +47,10 @@ def test_interval_totals(spark, width):
 def test_interval_totals_binned(spark):
     test_interval_totals(spark, 16)
 
+
+def test_region_times(spark):
+    rows, regions = _places(spark)
+    got = {r.n: r.times for r in filters.region_times(rows, regions.drop("idx"), "ref", "first_base", "last_base").collect()}
+    at = lambda n: sum(1000 for s in range(50) if 7 * (n % 7) <= s + 10 and 7 * (n % 7) + n % 50 >= s)
+    assert got == {n: at(n) for n in range(100_000) if at(n)}
+
