@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -37,22 +39,51 @@ def unambiguous_best(hits: DataFrame, key: str, group: str, score: str) -> DataF
 def resolve_clashes(mappings: DataFrame, *, least_overlap: float = 0.5) -> DataFrame:
     """Per gene: mappings by falling score; one clashing with a kept mapping of its group leaves the longer of the two.
 
-    Input columns gene, grp, start, stop, score; the greedy order has no set form, so each
-    gene's few mappings are handled together.
+    Input columns gene, grp, start, stop, score.  Only mappings of one gene and group can
+    clash, so rows come sorted by these and then in greedy order: a row alone in its group
+    passes with its batch, the others are read one by one, and only what is kept of the
+    group at hand is held.  Mappings without a start or stop clash with none.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        kept: list = []
-        for row in rows.sort_values(["score", "grp", "start", "stop"], ascending=[False, True, True, True]).itertuples(index=False):
-            for k, other in enumerate(kept):
-                shared = min(row.stop, other.stop) - max(row.start, other.start) + 1
-                shortest = min(row.stop - row.start, other.stop - other.start) + 1
-                if row.grp == other.grp and shared >= least_overlap * shortest:
-                    if row.stop - row.start > other.stop - other.start:
+    def place(row, kept: list) -> None:
+        start, stop = row[2], row[3]
+        if start is not None and stop is not None:
+            for k, (_, _, a, b, _) in enumerate(kept):
+                if a is not None and b is not None and min(stop, b) - max(start, a) + 1 >= least_overlap * (min(stop - start, b - a) + 1):
+                    if stop - start > b - a:
                         kept[k] = row
-                    break
-            else:
-                kept.append(row)
-        return pd.DataFrame(list(dict.fromkeys(kept)), columns=rows.columns)
+                    return
+        kept.append(row)
 
-    return mappings.select("gene", "grp", "start", "stop", "score").groupBy("gene").applyInPandas(run, "gene string, grp string, start long, stop long, score double")
+    def same(column: pa.Array) -> np.ndarray:
+        here, next_ = column.slice(0, len(column) - 1), column.slice(1)
+        alike = pc.fill_null(pc.equal(here, next_), False)
+        return pc.or_(alike, pc.and_(pc.is_null(here), pc.is_null(next_))).to_numpy(zero_copy_only=False)
+
+    def run(batches):
+        key, kept, schema = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            schema, out = batch.schema, []
+            begins = np.ones(batch.num_rows + 1, bool)
+            begins[1:-1] = ~(same(batch.column(0)) & same(batch.column(1)))
+            alone = begins[:-1] & begins[1:]
+            alone[0] = alone[-1] = False  # their groups may go on in another batch
+            yield batch.filter(pa.array(alone))
+            for row in zip(*(c.to_pylist() for c in batch.filter(pa.array(~alone)).columns), strict=True):
+                if row[:2] != key:
+                    out += dict.fromkeys(kept)
+                    key, kept = row[:2], []
+                place(row, kept)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        if kept:
+            out = dict.fromkeys(kept)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+
+    types = {"gene": "string", "grp": "string", "start": "long", "stop": "long", "score": "double"}
+    rows = mappings.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()]).repartition("gene", "grp")
+    falling = F.when(~F.isnan("score"), F.col("score")).desc_nulls_last()
+    rows = rows.sortWithinPartitions("gene", "grp", falling, F.col("start").asc_nulls_last(), F.col("stop").asc_nulls_last())
+    return rows.mapInArrow(run, ", ".join(f"{c} {t}" for c, t in types.items()))

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from abundara.operators import filters, joins
+from abundara.operators import filters, joins, ranking
 
 
 def test_five_prime_tie(spark):
@@ -54,3 +54,39 @@ def test_region_times(spark):
     at = lambda n: sum(1000 for s in range(50) if 7 * (n % 7) <= s + 10 and 7 * (n % 7) + n % 50 >= s)
     assert got == {n: at(n) for n in range(100_000) if at(n)}
 
+
+def _greedy(rows, least=0.5):
+    kept = []
+    for row in sorted(rows, key=lambda r: (-r[4], r[1], r[2], r[3])):
+        for k, o in enumerate(kept):
+            if row[1] == o[1] and min(row[3], o[3]) - max(row[2], o[2]) + 1 >= least * (min(row[3] - row[2], o[3] - o[2]) + 1):
+                if row[3] - row[2] > o[3] - o[2]:
+                    kept[k] = row
+                break
+        else:
+            kept.append(row)
+    return list(dict.fromkeys(kept))
+
+
+def test_clashes_across_batches(spark):
+    """Many genes, most of one mapping a group, in batches that end within groups; genes are not handled one by one."""
+    rnd, rows = random.Random(2), []
+    for g in range(400):
+        for _ in range(rnd.choice((1, 2, 3, 30 if g % 50 == 0 else 4))):
+            start = rnd.randrange(60)
+            rows.append((f"g{g}", rnd.choice("op"), start, start + rnd.randrange(40), float(rnd.randrange(5))))
+    rows += rows[:20]
+    want = sorted(x for g in {r[0] for r in rows} for x in _greedy([r for r in rows if r[0] == g]))
+    schema = "gene string, grp string, start long, stop long, score double"
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = ranking.resolve_clashes(spark.createDataFrame(rows, schema))
+        assert sorted(map(tuple, found.collect())) == want
+        odd = [(None, None, 1, 5, 1.0), (None, None, 2, 9, None), ("g", None, None, 5, 2.0), ("g", None, 1, 5, 1.0), ("g", "x", 1, 5, 1.0)]
+        got = {tuple(r) for r in ranking.resolve_clashes(spark.createDataFrame(odd, schema)).collect()}
+        assert got == set(odd[1:])
+        assert ranking.resolve_clashes(spark.createDataFrame([], schema)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()
