@@ -60,7 +60,9 @@ def adjust(rows: DataFrame, p: str, how: str, order: list[str]) -> DataFrame:
     some = some.crossJoin(F.broadcast(n))
     if how == "bonferroni":
         return some.withColumn("q", F.least(F.lit(1.0), F.col(p) * F.col("_n"))).drop("_n")
-    factor = F.lit(1.0) if how == "bh" else F.aggregate(F.sequence(F.lit(1), F.col("_n").cast("int")), F.lit(0.0), lambda a, i: a + 1.0 / i)
+    factor = F.lit(1.0)
+    if how == "by":  # the sum of 1 / i is taken once, in blocks, not for each row
+        some, factor = some.crossJoin(F.broadcast(_harmonic(n))), F.col("_h")
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = some.agg(F.percentile_approx(p, [k / parts for k in range(1, parts)], 10_000).alias("_b")) if parts > 1 else some.agg(F.array().cast("array<double>").alias("_b"))
     some = some.crossJoin(F.broadcast(bounds)).withColumn("_part", F.size(F.filter("_b", lambda b: b < F.col(p)))).drop("_b")
@@ -72,7 +74,15 @@ def adjust(rows: DataFrame, p: str, how: str, order: list[str]) -> DataFrame:
     after = least.withColumn("_after", F.min("_m").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)))
     back = Window.partitionBy("_part").orderBy(F.desc(p), *[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     some = some.join(F.broadcast(after.select("_part", "_after")), "_part")
-    return some.withColumn("q", F.least(F.lit(1.0), F.min("_q").over(back), F.col("_after"))).drop("_q", "_n", "_part", "_before", "_after")
+    return some.withColumn("q", F.least(F.lit(1.0), F.min("_q").over(back), F.col("_after"))).drop("_q", "_n", "_h", "_part", "_before", "_after")
+
+
+def _harmonic(n: DataFrame, block: int = 1 << 16) -> DataFrame:
+    """One row, _h: the sum of 1 / i for i up to _n, in blocks that tasks share."""
+    n = n.select(F.col("_n").cast("long").alias("_n"))
+    blocks = n.select("_n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / block))).alias("_b")).where("_n > 0").repartition("_b")
+    terms = F.sequence(F.col("_b") * block + 1, F.least("_n", (F.col("_b") + 1) * block))
+    return blocks.select(F.aggregate(terms, F.lit(0.0), lambda a, i: a + 1.0 / i).alias("_s")).agg(F.coalesce(F.sum("_s"), F.lit(0.0)).alias("_h"))
 
 
 def rank_sum_summary(rows: DataFrame, feature: str, group: str, value: str, first: str, second: str, shift: float = 1e-8) -> DataFrame:
