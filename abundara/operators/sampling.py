@@ -6,16 +6,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from abundara.operators.scratch import kept
+
 
 def _lot(seed: int, *columns):
     return F.xxhash64(F.lit(seed), *columns)
 
 
+#: Counts of a cell are numbered and drawn this many at a time, so one large cell is many tasks' work.
+BLOCK = 1 << 16
+
+
+def _near_draw(cells: DataFrame, depth: int, seed: int, wide: float) -> DataFrame:
+    """(_cell, lot, n): counts by digest up to a bound somewhat past the ``depth``-th of a sample; a null lot sums those well before it."""
+    t, chance = F.col("_t"), F.lit(float(depth)) / F.col("_t")
+    spread = wide * (8 * F.sqrt(depth * (1 - chance)) + 16)
+    signed = lambda share: ((share - 0.5) * 2.0**64).cast("long")
+    low, high = (depth - spread) / t, (depth + spread) / t
+    rows = cells.withColumn("_low", F.when(low > 0, signed(low))).withColumn("_high", F.when(high < 1, signed(high)))
+    rows = rows.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("c") - 1) / BLOCK))))
+    rows = rows.repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_cell", "_b")
+    rows = rows.withColumn("n", F.explode(F.sequence(F.col("_b") * BLOCK + 1, F.least("c", (F.col("_b") + 1) * BLOCK))))
+    number = F.col("n")
+    lot = F.when(number < 2**31, _lot(seed, F.col("sample"), F.col("feature"), number.cast("int"))).otherwise(_lot(seed, F.col("sample"), F.col("feature"), number))
+    rows = rows.select("_cell", "_low", "_high", lot.alias("lot")).where("_high is null or lot < _high")
+    return rows.groupBy("_cell", F.when(F.col("_low").isNull() | (F.col("lot") >= F.col("_low")), F.col("lot")).alias("lot")).agg(F.count("*").alias("n"))
+
+
 def rarefy(m: DataFrame, depth: int, seed: int = 1) -> DataFrame:
-    """``depth`` whole counts of each sample drawn without replacement; smaller samples stay as they are."""
-    each = m.withColumn("c", F.floor("value").cast("int")).where("c > 0").select("sample", "feature", F.explode(F.sequence(F.lit(1), F.col("c"))).alias("n"))
-    w = Window.partitionBy("sample").orderBy(_lot(seed, F.col("sample"), F.col("feature"), F.col("n")), "feature", "n")
-    return each.withColumn("r", F.row_number().over(w)).where(F.col("r") <= depth).groupBy("sample", "feature").agg(F.count("*").cast("double").alias("value"))
+    """``depth`` whole counts of each sample drawn without replacement; smaller samples stay as they are.
+
+    Drawn are the counts of the ``depth`` least digests.  Digests are spread evenly, so the
+    last one drawn lies close to depth / total of their range: counts well before it are
+    summed by cell, those in a narrow band about it are ranked one by one.  Whether the band
+    holds the place is counted; if it does not in any sample, a wider band is taken.
+    """
+    by = Window.partitionBy("sample")
+    cells = m.select("sample", "feature", F.floor("value").cast("long").alias("c")).where("c > 0").withColumn("_t", F.sum("c").over(by))
+    cells = kept(cells.withColumn("_cell", F.monotonically_increasing_id()))
+    whole, cut = cells.where(F.col("_t") <= depth), cells.where(F.col("_t") > depth)
+    samples, wide = cut.select("sample").distinct().count(), 1.0
+    while True:
+        near = kept(_near_draw(cut, depth, seed, wide).join(cut.select("_cell", "sample", "feature"), "_cell"))
+        held = near.groupBy("sample").agg(F.sum(F.when(F.col("lot").isNull(), F.col("n")).otherwise(0)).alias("before"), F.sum("n").alias("all"))
+        if depth <= 0 or held.where((F.col("before") <= depth) & (F.col("all") >= depth)).count() == samples:
+            break
+        wide *= 64
+    upto = F.sum("n").over(by.orderBy(F.col("lot").asc_nulls_first(), "feature").rowsBetween(Window.unboundedPreceding, 0))
+    drawn = near.withColumn("c", F.least(F.col("n"), F.lit(depth) - (upto - F.col("n")))).where("c > 0").select("sample", "feature", "c")
+    return whole.select("sample", "feature", "c").unionByName(drawn).groupBy("sample", "feature").agg(F.sum("c").cast("double").alias("value"))
 
 
 def thin(m: DataFrame, share: float, seed: int = 1) -> DataFrame:

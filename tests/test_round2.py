@@ -3,9 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from abundara.operators import filters, joins, ranking, stats
+from abundara.operators import filters, joins, ranking, sampling, stats
 
 
 def test_five_prime_tie(spark):
@@ -64,6 +65,36 @@ def test_by_factor_is_taken_once(spark):
     assert stats.adjust(p.where("id < 0"), "p", "by", ["id"]).count() == 0
 
 
+def _rarefied(m, depth):
+    """Every count by itself, ranked by digest."""
+    each = m.withColumn("c", F.floor("value").cast("int")).where("c > 0").select("sample", "feature", F.explode(F.sequence(F.lit(1), F.col("c"))).alias("n"))
+    w = Window.partitionBy("sample").orderBy(sampling._lot(1, F.col("sample"), F.col("feature"), F.col("n")), "feature", "n")
+    rows = each.withColumn("r", F.row_number().over(w)).where(F.col("r") <= depth).groupBy("sample", "feature").count().collect()
+    return sorted((r["sample"] or "", r.feature, r["count"]) for r in rows)
+
+
+def _drawn(m, depth):
+    return sorted((r["sample"] or "", r.feature, r.value) for r in sampling.rarefy(m, depth).collect())
+
+
+def test_rarefy_is_the_ranking(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = [(s, f"f{k}", float(rnd.randrange(2500)) + 0.5) for s in ("a", "b", None) for k in range(12)] + [("c", "f1", 3.0), ("c", "f1", 2.0), ("d", "f1", 0.2)]
+    m = spark.createDataFrame(rows, "sample string, feature string, value double")
+    monkeypatch.setattr(sampling, "BLOCK", 100)  # cells of many blocks
+    for depth in (1, 9000):
+        assert _drawn(m, depth) == _rarefied(m, depth)
+    assert sampling.rarefy(m, 0).count() == 0
+    # digests that are not spread at all: the band misses the place and is widened
+    monkeypatch.setattr(sampling, "_lot", lambda seed, *c: F.pmod(c[-1], F.lit(3)).cast("long"))
+    assert _drawn(m, 700) == _rarefied(m, 700)
+
+
+def test_rarefy_large_cell(spark):
+    m = spark.createDataFrame([("a", "f", 3e9), ("b", "f", 5.0)], "sample string, feature string, value double")
+    assert _drawn(m, 4_000_000_000) == [("a", "f", 3e9), ("b", "f", 5.0)]
+
+
 def _greedy(rows, least=0.5):
     kept = []
     for row in sorted(rows, key=lambda r: (-r[4], r[1], r[2], r[3])):
