@@ -82,11 +82,12 @@ def bootstrap(m: DataFrame, draws: int, replicates: int, seed: int = 1, steps: i
 
 def rarefy_to_least(m: DataFrame, *, top_share: float = 1.0, seed: int = 1) -> DataFrame:
     """All samples, or the ``top_share`` with the largest totals, rarefied to the smallest total among them."""
+    m = kept(m)  # read for the totals and for the draw
     totals = m.groupBy("sample").agg(F.sum(F.floor("value")).alias("_t"))
     ranked = totals.withColumn("_r", F.row_number().over(Window.orderBy("_t", "sample"))).withColumn("_n", F.count("*").over(Window.partitionBy(F.lit(0))))  # one row a sample
-    kept = ranked.where(F.col("_r") >= F.ceil(F.col("_n") * F.lit(1 - top_share)))
-    least = kept.agg(F.min("_t")).first()[0]
-    return rarefy(m.join(kept.select("sample"), "sample", "left_semi"), int(least or 0), seed)
+    top = ranked.where(F.col("_r") >= F.ceil(F.col("_n") * F.lit(1 - top_share)))
+    least = top.agg(F.min("_t")).first()[0]
+    return rarefy(m.join(top.select("sample"), "sample", "left_semi"), int(least or 0), seed)
 
 
 def thin_to_bases(m: DataFrame, target: float, lengths: DataFrame, seed: int = 1) -> DataFrame:

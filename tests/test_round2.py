@@ -95,6 +95,14 @@ def test_rarefy_large_cell(spark):
     assert _drawn(m, 4_000_000_000) == [("a", "f", 3e9), ("b", "f", 5.0)]
 
 
+def test_rarefy_to_least_ranks_few(spark):
+    """Two samples of 20 million counts to 19.9 million: all but a band of them are summed, not sorted."""
+    m = spark.createDataFrame([(s, f, 1e7 - (0 if s == "a" else 5e4)) for s in "ab" for f in "xy"], "sample string, feature string, value double")
+    got = {(r["sample"], r.feature): r.value for r in sampling.rarefy_to_least(m).collect()}
+    assert got["a", "x"] + got["a", "y"] == got["b", "x"] + got["b", "y"] == 1.99e7
+    assert got["b", "x"] == 9.95e6 and abs(got["a", "x"] - 9.95e6) < 2000
+
+
 def _greedy(rows, least=0.5):
     kept = []
     for row in sorted(rows, key=lambda r: (-r[4], r[1], r[2], r[3])):
