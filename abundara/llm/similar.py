@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from abundara.llm.common import cut, discard, text_bytes, text_digest
 from abundara.llm.graph import connected
-from abundara.llm.simhash import keep_roots, small
+from abundara.llm.simhash import keep_roots, near_duplicates, small
 
 ROWS, BANDS = 6, 24
 #: Shingles of a text that are mixed at a time.
@@ -226,6 +226,30 @@ def _hot_links(members: DataFrame, sets: DataFrame, least: float, hot: int, roun
     return cut(out)
 
 
+def joined(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per input row: doc_id, row, root and component_id of the components over both SimHash links and ``similar``'s.
+
+    SimHash components come from ``simhash.near_duplicates`` as they are; one that reaches
+    several components of similar sets joins them, so chains through both kinds of link hold.
+    """
+    bits = near_duplicates(docs, id_col=id_col, text_col=text_col).select("row", F.col("root").alias("bits"))
+    sets = cut(similar(docs, id_col=id_col, text_col=text_col, **options).select("doc_id", "row", "root", "component_id"))
+    both = cut(bits.distinct().join(sets.select("row", "root").distinct(), "row").select("bits", "root").distinct())
+    first = both.groupBy("bits").agg(F.min("root").alias("a"), F.count("*").alias("n")).where("n > 1")
+    nodes = cut(connected(both.join(first, "bits").select("a", F.col("root").alias("b"))))
+    roots = sets.groupBy("root").agg(F.min("component_id").alias("least"))
+    roots = cut(roots.join(nodes.withColumnRenamed("root", "top"), F.col("root") == F.col("node"), "left").select("root", "least", F.coalesce("top", "root").alias("top")))
+    least = cut(roots.groupBy("top").agg(F.min("least").alias("component_id")))
+    roots = cut(roots.join(least, "top").select("root", "top", "component_id"))
+    discard(both, nodes, least)
+    return sets.select("doc_id", "row", "root").join(roots, "root").select("doc_id", "row", F.col("top").alias("root"), "component_id")
+
+
+def keep_first_joined(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component of ``joined``, that of the smallest id; rows without an id stay."""
+    return keep_roots(docs, joined(docs, id_col=id_col, text_col=text_col, **options), id_col, text_col)
+
+
 def keep_first_similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each component, that of the smallest id; rows without an id stay."""
     return keep_roots(docs, similar(docs, id_col=id_col, text_col=text_col, **options), id_col, text_col)

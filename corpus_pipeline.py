@@ -21,7 +21,7 @@ from abundara.llm.mixing import mix
 from abundara.llm.packing import pack_documents
 from abundara.llm.registry import tokenizer_path
 from abundara.llm.secrets import redact
-from abundara.llm.similar import keep_first_similar
+from abundara.llm.similar import keep_first_joined
 from abundara.llm.toxicity import drop_toxic, train
 
 
@@ -31,8 +31,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 and more) the row of the smallest id stays."""
-    return keep_first_similar(docs)
+    """Of each group of near copies the row of the smallest id stays: SimHash links, and similarity 0.8 and more on five-word shingles, which SimHash misses."""
+    return keep_first_joined(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
