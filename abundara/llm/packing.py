@@ -32,6 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from abundara.llm.common import give_back, lean
+
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
     "offset long, tier long, step_group long"
@@ -209,6 +211,7 @@ def pack_documents(
 
     def pack(batches):
         encode = ChunkEncoder(tokenizer_path).encode
+        give_back()  # what the vocabulary's reading took
         task = TaskContext.get().partitionId() << 32
         seen = steps = held = 0
         ids, keys = [], []
@@ -242,4 +245,4 @@ def pack_documents(
             yield flush()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(pack, SCHEMA)
+    return rows.mapInArrow(lean(pack), SCHEMA)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abundara.llm.common import cut, discard, fresh, text_bytes, text_digest
+from abundara.llm.common import cut, discard, fresh, lean, text_bytes, text_digest
 from abundara.llm.graph import connected
 
 #: Shingles are hashed and counted this many at a time, so a very long text needs bounded memory.
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([simhash(t.as_py(), shingle, seed) for t in batch.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found.view(np.int64))], ["doc_id", "row", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(text_col).alias("row"), text_bytes(text_col).alias("text")).mapInArrow(run, "doc_id long, row long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(text_col).alias("row"), text_bytes(text_col).alias("text")).mapInArrow(lean(run), "doc_id long, row long, fp long")
 
 
 def variant_keys(fp: np.ndarray, hot_low: np.ndarray, hot_high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,9 +184,9 @@ def fingerprint_links(classes: DataFrame, bits: int = 2, hot: int = 2000) -> Dat
             found = links_of_runs(key, fp, bits)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
-    indexed = rows.mapInArrow(index, "key long, fp long")
+    indexed = rows.mapInArrow(lean(index), "key long, fp long")
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return indexed.repartition(n, "key").sortWithinPartitions("key").mapInArrow(verify, "a long, b long").distinct()
+    return indexed.repartition(n, "key").sortWithinPartitions("key").mapInArrow(lean(verify), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, bits: int = 2, hot: int = 2000) -> DataFrame:

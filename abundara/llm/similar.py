@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abundara.llm.common import cut, discard, text_bytes, text_digest
+from abundara.llm.common import cut, discard, lean, slices, text_bytes, text_digest
 from abundara.llm.graph import connected
 from abundara.llm.simhash import keep_roots, near_duplicates, small
 
@@ -122,19 +122,19 @@ def similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """
 
     def mark(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t.as_py(), shingle, seed) for t in batch.column(2)]
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), seed) for s in sets], np.uint64)
             bands = [band_keys(s, seed=seed).view(np.int64) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(node.view(np.int64)), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "row", "node", "bands"])
 
     def shingled(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t.as_py(), shingle, seed).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["row", "shingles"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(text_col).alias("row"), text_bytes(text_col).alias("text"))
-    marked = cut(texts.mapInArrow(mark, "doc_id long, row long, node long, bands array<long>"))
+    marked = cut(texts.mapInArrow(lean(mark), "doc_id long, row long, node long, bands array<long>"), batch_rows=1000)
     classes = cut(marked.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("row").alias("row")))
     # the same set has the same keys, so a class's rows repeat them
     keyed = marked.select("node", F.explode("bands").alias("key")).distinct()
@@ -142,10 +142,10 @@ def similar(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     shared = cut(shared.groupBy("n", "least", "members").agg(F.min("key").alias("key")).select("key", "n"))
     members = cut(keyed.join(shared, "key").join(classes.select("node", "row"), "node").select("key", "n", "node", "row"))
     wanted = cut(members.select("row").distinct())
-    sets = cut(texts.select("row", "text").join(small(wanted), "row", "left_semi").dropDuplicates(["row"]).mapInArrow(shingled, "row long, shingles binary"))
+    sets = cut(texts.select("row", "text").join(small(wanted), "row", "left_semi").dropDuplicates(["row"]).mapInArrow(lean(shingled), "row long, shingles binary"), batch_rows=1000)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     few = members.where(F.col("n") <= hot).join(sets, "row").select("key", "node", "shingles")
-    links = cut(few.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_verify(least), "a long, b long"))
+    links = cut(few.repartition(n, "key").sortWithinPartitions("key").mapInArrow(lean(_verify(least)), "a long, b long"), batch_rows=1000)
     many = members.where(F.col("n") > hot)
     if not many.isEmpty():
         links = links.unionByName(_hot_links(cut(many), sets, least, hot, rounds, n))
@@ -207,7 +207,7 @@ def _hot_links(members: DataFrame, sets: DataFrame, least: float, hot: int, roun
         if lead.isEmpty():
             break
         pairs = open_.join(sets, "row").join(lead, "key").select("key", "node", "row", "leader", "shingles", "lead")
-        judged = cut(pairs.mapInArrow(judge, "key long, node long, row long, leader long, near boolean"))
+        judged = cut(pairs.mapInArrow(lean(judge), "key long, node long, row long, leader long, near boolean"))
         links.append(judged.where("near and node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")))
         rest = open_.join(lead.select("key"), "key", "left_anti")
         open_ = cut(rest.unionByName(judged.where("not near").select("key", "node", "row")))
@@ -219,7 +219,7 @@ def _hot_links(members: DataFrame, sets: DataFrame, least: float, hot: int, roun
     others = members.join(sets, "row").join(dealt, "key").select("key", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("node"), "chunks").cast("int").alias("chunk"), F.lit(False).alias("probe"), "node", "shingles")
     both = probes.unionByName(others)
     keys = ["key", "block", "chunk"]
-    links.append(both.repartition(partitions, *keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long"))
+    links.append(both.repartition(partitions, *keys).sortWithinPartitions(*keys).mapInArrow(lean(compare), "a long, b long"))
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)

@@ -33,12 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from abundara.llm.common import lean, slices
+
 SIDE = 64  # letters of the reduced alphabet, 0 being a word's edge
 DECAY = 0.7
 GAPS = ((1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1))
 FLOOR = -3.0  # decision value of a text without letters
 GOAL = 2.0  # decision value that toxic words are to reach; what lies beyond counts a tenth
 STRETCH = 1 << 20
+GROUP = 1 << 18  # characters of short texts that are scored at a time
 SPACE = re.compile(r"\s")
 
 
@@ -151,7 +154,7 @@ class Model:
                 held.append(piece)
                 owner.append(k)
                 size += len(piece)
-            if held and (size >= STRETCH or text is None):
+            if held and (size >= GROUP or text is None):
                 np.maximum.at(best, owner, text_values(held, self.weights))
                 held, owner, size = [], [], 0
         value = bounded(best.astype(np.float64) + self.bias)
@@ -376,12 +379,12 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     """doc_id, held_out, score and predicted of every row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             s = model.scores(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(s), pa.array((s >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(lean(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -389,8 +392,8 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", thresho
     place = [c.lower() for c in docs.columns].index(text_col.lower())
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             keep = model.scores([t or "" for t in batch.column(place).to_pylist()]) < threshold
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -46,8 +46,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of the packed sequences."""
-    return pack_documents(docs, tokenizer_path())
+    """One row per piece of the packed sequences, written in small batches: the last stage meets executors whose heap is full."""
+    return cut(pack_documents(docs, tokenizer_path()), batch_rows=1000)
 
 
 STAGES = [
