@@ -72,6 +72,15 @@ def profiles(hits: DataFrame, mode_name: str, dimensions: Mapping[str, DataFrame
     return out
 
 
+def features(hits: DataFrame, mode_name: str, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """(level, feature) of ``profiles`` for the levels that the mode's provider gives, without computing any value."""
+    out = None
+    for level, rows in MODES[mode_name](hits, dimensions).items():
+        part = P.features(rows, None if level == "gene" else "taxon").select(F.lit(level).alias("level"), "feature")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @dataclass
 class Module:
     """A named step: the tables it needs, its settings with defaults, the tables it gives."""
